@@ -455,3 +455,109 @@ def q_hash_split(spark, d):
 def q_random_split(spark, d):
     r = V.reviews(spark, d).select("doc_id", "source", "quality")
     return split.random_split(r, (0.6, 0.3, 0.1), seed=0)
+
+
+# ------------------------------------------------------ least squares ----
+from opinio.functions.columns import significant  # noqa: E402
+from opinio.plans import metrics as M  # noqa: E402
+from opinio.plans import regression as RG  # noqa: E402
+from opinio.specs import OLS_RUNS  # noqa: E402
+
+FEATURES = list(V.RATING_FEATURES)
+RUNS = [(V.RATINGS.subset(letters), fit, score) for letters, fit, score in OLS_RUNS]
+
+
+def _filled_ratings(spark, d):
+    """Labelled, split ratings; discount/tax NULLs filled with TRAINING
+    means (no leakage from validation/test)."""
+    r = V.ratings_split(spark, d)
+    return clean.impute_mean(r.where(F.col("split") == "train"), r,
+                             ["l_discount", "l_tax"])
+
+
+@query("assemble_ratings", f"""
+WITH {O.RATINGS_CTE}, {O.filled_ratings_cte(FEATURES)}
+SELECT l_orderkey, line, {', '.join(f'round({f}, 6) AS {f}' for f in FEATURES)}
+FROM filled""")
+def q_assemble_ratings(spark, d):
+    vec = RG.assemble(_filled_ratings(spark, d), FEATURES, "features")
+    out = RG.unpack(vec, "features", FEATURES, ["l_orderkey", "line"])
+    return out.select("l_orderkey", "line", *[r6(f).alias(f) for f in FEATURES])
+
+
+@query("standardize", f"""
+WITH {O.RATINGS_CTE}, {O.filled_ratings_cte(FEATURES)},
+st AS (SELECT {', '.join(f'avg({f}) AS m_{f}, stddev_samp({f}) AS s_{f}' for f in FEATURES)}
+       FROM filled WHERE split = 'train')
+SELECT l_orderkey, line,
+       {', '.join(f'round(({f} - m_{f}) / s_{f}, 6) AS z_{f}' for f in FEATURES)}
+FROM filled, st""")
+def q_standardize(spark, d):
+    f = _filled_ratings(spark, d)
+    out = RG.standardize(f.where(F.col("split") == "train"), f, FEATURES,
+                         ["l_orderkey", "line"])
+    return out.select("l_orderkey", "line",
+                      *[r6("z_" + c).alias("z_" + c) for c in FEATURES])
+
+
+@query("ols_coefficients", O.ols_coefficients_sql(RUNS[7][0], "train"))
+def q_ols_coefficients(spark, d):
+    f = _filled_ratings(spark, d)
+    feats = RUNS[7][0]
+    model = RG.fit_ols(f.where(F.col("split") == "train"), feats, "label")
+    tab = RG.coefficient_table(spark, model, feats)
+    return tab.select("column", significant("weight").alias("weight"))
+
+
+@query("subset_mse_report", O.subset_mse_sql(RUNS))
+def q_subset_mse_report(spark, d):
+    rep = RG.subset_mse_report(spark, _filled_ratings(spark, d), "label", RUNS)
+    return rep.select("run", "features", "fit_on", "score_on", "n_fit",
+                      "n_score", r6("mse").alias("mse"))
+
+
+@query("mse", O.ols_mse_sql(RUNS[0][0], "train", "validation"))
+def q_mse(spark, d):
+    f = _filled_ratings(spark, d)
+    model = RG.fit_ols(f.where(F.col("split") == "train"), RUNS[0][0], "label")
+    scored = model.transform(f.where(F.col("split") == "validation"))
+    return M.mse(scored, "prediction", "label").select(r6("mse").alias("mse"))
+
+
+@query("best_by_metric", f"""
+WITH rep AS ({O.subset_mse_sql(RUNS)})
+SELECT run, features, mse FROM rep WHERE score_on = 'validation'
+ORDER BY mse, run LIMIT 1""")
+def q_best_by_metric(spark, d):
+    rep = RG.subset_mse_report(spark, _filled_ratings(spark, d), "label", RUNS)
+    rep = rep.where(F.col("score_on") == "validation").withColumn("mse", r6("mse"))
+    return agg.best_by(rep, "mse", ["run"], descending=False).select(
+        "run", "features", "mse")
+
+
+@query("scored_preview")
+def q_scored_preview(spark, d):
+    """Run 11's model scores the test split; first 20 negatives by key."""
+    f = _filled_ratings(spark, d)
+    model = RG.fit_ols(f.where(F.col("split") == "train"), RUNS[10][0], "label")
+    scored = model.transform(f.where(F.col("split") == "test"))
+    return (scored.select("l_orderkey", "line", "l_suppkey", "prediction", "label")
+            .where(F.col("label") == 0).orderBy("l_orderkey", "line").limit(20))
+
+
+@query("auc", f"""
+WITH {O.RATINGS_CTE},
+g AS (SELECT split, CAST(l_quantity AS DOUBLE) AS score,
+             CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS pos,
+             CAST(sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS neg
+      FROM ratings GROUP BY split, l_quantity),
+c AS (SELECT split, pos, neg,
+             coalesce(sum(neg) OVER (PARTITION BY split ORDER BY score
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+      FROM g)
+SELECT split, round(sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auc
+FROM c GROUP BY split""")
+def q_auc(spark, d):
+    r = V.ratings_split(spark, d)
+    out = M.area_under_roc(r, "l_quantity", "label", by=["split"])
+    return out.select("split", r6("auc").alias("auc"))

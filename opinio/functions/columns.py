@@ -65,8 +65,11 @@ def two_standard_errors(c: str | Column) -> Column:
 
 def significant(c: str | Column, digits: int = 7) -> Column:
     """Round to ``digits`` significant digits (for comparing small
-    coefficients across engines)."""
+    coefficients across engines). Scales only by exact powers of ten."""
     x = _c(c)
-    scale = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))))
-    return F.when(x == 0, F.lit(0.0)).otherwise(
-        F.round(x / scale, digits - 1) * scale)
+    e = F.floor(F.log10(F.abs(x)))
+    up = F.pow(F.lit(10.0), -e)     # exact for e < 0
+    down = F.pow(F.lit(10.0), e)    # exact for e >= 0
+    return (F.when(x == 0, F.lit(0.0))
+            .when(e < 0, F.round(x * up, digits - 1) / up)
+            .otherwise(F.round(x / down, digits - 1) * down))

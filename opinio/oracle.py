@@ -65,5 +65,91 @@ RATINGS_ALL_CTE = f"ratings_all AS ({RATINGS_BODY})"
 
 def sig(x: str, digits: int = 7) -> str:
     """Round to significant digits, same formula as functions.significant."""
-    sc = f"pow(10.0, floor(log10(abs({x}))))"
-    return (f"CASE WHEN {x} = 0 THEN 0.0 ELSE round({x} / {sc}, {digits - 1}) * {sc} END")
+    e = f"floor(log10(abs({x})))"
+    return (f"CASE WHEN {x} = 0 THEN 0.0 "
+            f"WHEN {e} < 0 THEN round({x} * pow(10.0, -{e}), {digits - 1}) / pow(10.0, -{e}) "
+            f"ELSE round({x} / pow(10.0, {e}), {digits - 1}) * pow(10.0, {e}) END")
+
+
+# ------------------------------------------------- least squares by chain ----
+# OLS without matrices: regress the label and every remaining feature on one
+# feature (regr_slope / regr_intercept over the fit split), keep residuals for
+# all rows, repeat with the next feature. After the last feature the label
+# column holds the OLS residual (Frisch-Waugh-Lovell), for fit and score rows.
+
+def residual_chain(prefix: str, src: str, regress_on: list[str],
+                   carry: list[str], fit_split: str) -> tuple[list[str], str]:
+    ctes, cur = [], src
+    remaining = list(regress_on)
+    step = 0
+    while remaining:
+        x, rest = remaining[0], remaining[1:]
+        targets = ["y"] + rest + list(carry)
+        s, r = f"{prefix}_s{step}", f"{prefix}_r{step}"
+        fits = ", ".join(f"regr_slope({t}, {x}) AS b_{t}, regr_intercept({t}, {x}) AS a_{t}"
+                         for t in targets)
+        ctes.append(f"{s} AS (SELECT {fits} FROM {cur} WHERE split = '{fit_split}')")
+        res = ", ".join(f"{cur}.{t} - ({s}.a_{t} + {s}.b_{t} * {cur}.{x}) AS {t}"
+                        for t in targets)
+        ctes.append(f"{r} AS (SELECT {cur}.split, {res} FROM {cur}, {s})")
+        cur, remaining, step = r, rest, step + 1
+    return ctes, cur
+
+
+def filled_ratings_cte(features: list[str], name: str = "filled") -> str:
+    """Labelled ratings, discount/tax NULLs filled with training means."""
+    cols = []
+    for f in features:
+        if f in ("l_discount", "l_tax"):
+            cols.append(f"coalesce({f}, (SELECT avg({f}) FROM ratings "
+                        f"WHERE split = 'train')) AS {f}")
+        else:
+            cols.append(f)
+    return (f"{name} AS (SELECT l_orderkey, line, l_suppkey, split, "
+            f"CAST(label AS DOUBLE) AS y, {', '.join(cols)} FROM ratings)")
+
+
+def subset_mse_sql(runs: list[tuple[list[str], str, str]]) -> str:
+    feats = sorted({f for fs, _, _ in runs for f in fs})
+    ctes = [RATINGS_CTE, filled_ratings_cte(feats)]
+    selects = []
+    for n, (fs, fit_on, score_on) in enumerate(runs, start=1):
+        chain, last = residual_chain(f"run{n}", "filled", fs, [], fit_on)
+        ctes += chain
+        selects.append(
+            f"SELECT {n} AS run, '{','.join(fs)}' AS features, "
+            f"'{fit_on}' AS fit_on, '{score_on}' AS score_on, "
+            f"(SELECT count(*) FROM filled WHERE split = '{fit_on}') AS n_fit, "
+            f"count(*) AS n_score, round(avg(y * y), 6) AS mse "
+            f"FROM {last} WHERE split = '{score_on}'")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(selects)
+
+
+def ols_coefficients_sql(features: list[str], fit_split: str = "train") -> str:
+    ctes = [RATINGS_CTE, filled_ratings_cte(features)]
+    slopes = []
+    for j, f in enumerate(features):
+        others = [g for g in features if g != f]
+        chain, last = residual_chain(f"c{j}", "filled", others, [f], fit_split)
+        ctes += chain
+        ctes.append(f"k{j} AS (SELECT regr_slope(y, {f}) AS b FROM {last} "
+                    f"WHERE split = '{fit_split}')")
+        slopes.append(f"(SELECT b FROM k{j})")
+    means = ", ".join(f"avg({f}) AS m_{f}" for f in features)
+    ctes.append(f"mu AS (SELECT avg(y) AS m_y, {means} FROM filled "
+                f"WHERE split = '{fit_split}')")
+    icpt = "m_y - (" + " + ".join(
+        f"{s} * m_{f}" for s, f in zip(slopes, features)) + ")"
+    rows = [f"SELECT '{f}' AS \"column\", {sig(s)} AS weight"
+            for f, s in zip(features, slopes)]
+    rows.append(f"SELECT 'intercept' AS \"column\", {sig('(' + icpt + ')')} AS weight FROM mu")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(rows)
+
+
+def ols_mse_sql(features: list[str], fit_split: str, score_split: str) -> str:
+    ctes = [RATINGS_CTE, filled_ratings_cte(features)]
+    chain, last = residual_chain("m", "filled", features, [], fit_split)
+    ctes += chain
+    return ("WITH " + ",\n".join(ctes) +
+            f"\nSELECT round(avg(y * y), 6) AS mse FROM {last} "
+            f"WHERE split = '{score_split}'")
