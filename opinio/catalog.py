@@ -561,3 +561,196 @@ def q_auc(spark, d):
     r = V.ratings_split(spark, d)
     out = M.area_under_roc(r, "l_quantity", "label", by=["split"])
     return out.select("split", r6("auc").alias("auc"))
+
+
+# --------------------------------------------------------- classifiers ----
+from opinio.plans import classify as CL  # noqa: E402
+from opinio.plans import textmodels as TM  # noqa: E402
+from opinio.specs import ELASTIC_NET_PARAMS, REG_PARAMS  # noqa: E402
+
+SUB_RATINGS = FEATURES[1:]          # the seven ratings without "overall"
+# Display names of the synthetic rating columns.
+DISPLAY_NAMES = {
+    "l_extendedprice": "EXTENDED PRICE", "l_discount": "DISCOUNT",
+    "l_tax": "TAX", "l_linenumber": "LINE NUMBER",
+    "o_totalprice": "ORDER TOTAL", "p_size": "PART SIZE",
+    "p_retailprice": "RETAIL PRICE",
+}
+BUSY_SOURCE_THRESHOLD = 15
+
+
+def _labelled_double(spark, d):
+    return _filled_ratings(spark, d).withColumn("label", F.col("label").cast("double"))
+
+
+def _logreg_model(spark, d):
+    f = _labelled_double(spark, d)
+    return f, CL.logreg_estimator(SUB_RATINGS, "label", 0.1).fit(
+        f.where(F.col("split") == "train"))
+
+
+def _forest_model(spark, d):
+    f = _labelled_double(spark, d)
+    return f, CL.forest_estimator(SUB_RATINGS, "label", seed=42).fit(
+        f.where(F.col("split") == "train"))
+
+
+def _classifier_report(f, model):
+    scored = CL.positive_probability(model.transform(f), "score")
+    aucs = M.area_under_roc(scored, "score", "label", by=["split"])
+    stats = scored.groupBy("split").agg(
+        F.avg("score").alias("mean_probability"),
+        F.avg("label").alias("label_rate"),
+        F.avg(match_flag("prediction", "label")).alias("accuracy"))
+    return aucs.join(stats, "split")
+
+
+@query("ratings_logreg")
+def q_ratings_logreg(spark, d):
+    f, model = _logreg_model(spark, d)
+    return _classifier_report(f, model)
+
+
+@query("rating_weights")
+def q_rating_weights(spark, d):
+    _, model = _logreg_model(spark, d)
+    return CL.logreg_weights(spark, model, SUB_RATINGS)
+
+
+@query("ratings_random_forest")
+def q_ratings_random_forest(spark, d):
+    f, model = _forest_model(spark, d)
+    return _classifier_report(f, model)
+
+
+@query("rf_importances")
+def q_rf_importances(spark, d):
+    _, model = _forest_model(spark, d)
+    return CL.forest_importances(spark, model, SUB_RATINGS)
+
+
+@query("rf_trees")
+def q_rf_trees(spark, d):
+    _, model = _forest_model(spark, d)
+    return CL.forest_trees(spark, model)
+
+
+@query("weight_lookup")
+def q_weight_lookup(spark, d):
+    _, model = _forest_model(spark, d)
+    return CL.weight_lookup(CL.forest_importances(spark, model, SUB_RATINGS),
+                            "p_retailprice")
+
+
+@query("weight_display_names")
+def q_weight_display_names(spark, d):
+    _, model = _forest_model(spark, d)
+    names = spark.createDataFrame(list(DISPLAY_NAMES.items()),
+                                  "column string, display string")
+    imp = CL.forest_importances(spark, model, SUB_RATINGS)
+    return CL.with_display_names(imp, names).orderBy("weight", "column")
+
+
+# --------------------------------------------------------- text models ----
+
+def _review_features(spark, d, fit_on: str = "train"):
+    """Cached (doc_id, source, quality, split, tfidf) and the fitted
+    featuriser; ``fit_on`` = 'train' (default) or 'all' (reference's first
+    model, whose vocabulary saw every review)."""
+    rv = split.hash_split(V.reviews(spark, d), "doc_id").withColumn(
+        "quality", F.col("quality").cast("double"))
+    fit_df = rv if fit_on == "all" else rv.where(F.col("split") == "train")
+    return TM.featurize(fit_df, rv, "text", list(STOP_WORDS),
+                        ["doc_id", "source", "quality", "split"])
+
+
+def _text_fit(spark, d, fit_on, reg, en):
+    fmodel, feats = _review_features(spark, d, fit_on)
+    lr = TM.logreg("quality", reg, en).fit(feats.where(F.col("split") == "train"))
+    return fmodel, feats, lr
+
+
+def _text_summary(spark, name, fit_on, reg, en, feats, lr):
+    val = lr.transform(feats.where(F.col("split") == "validation"))
+    acc = val.agg(F.avg(match_flag("prediction", "quality")).alias("accuracy"),
+                  F.count(F.lit(1)).alias("n_validation")).first()
+    w = lr.coefficients.toArray()
+    row = (name, fit_on, float(reg), float(en), acc["accuracy"],
+           int(acc["n_validation"]), int(len(w)), int((w == 0).sum()))
+    return spark.createDataFrame([row], (
+        "model string, features_fit_on string, reg_param double, "
+        "elastic_net_param double, accuracy double, n_validation long, "
+        "n_words int, n_zero_weights int"))
+
+
+@query("text_logreg")
+def q_text_logreg(spark, d):
+    _, feats, lr = _text_fit(spark, d, "all", 0.0, 0.0)
+    out = _text_summary(spark, "logreg", "all", 0.0, 0.0, feats, lr)
+    feats.unpersist()
+    return out
+
+
+@query("text_elastic_net")
+def q_text_elastic_net(spark, d):
+    _, feats, lr = _text_fit(spark, d, "train", 0.02, 0.3)
+    out = _text_summary(spark, "elastic_net", "train", 0.02, 0.3, feats, lr)
+    feats.unpersist()
+    return out
+
+
+def _elastic_net_weights(spark, d):
+    fmodel, feats, lr = _text_fit(spark, d, "train", 0.02, 0.3)
+    feats.unpersist()
+    return TM.word_weights(spark, TM.fitted_vocabulary(fmodel), lr)
+
+
+@query("word_weights")
+def q_word_weights(spark, d):
+    return _elastic_net_weights(spark, d)
+
+
+@query("weight_sparsity")
+def q_weight_sparsity(spark, d):
+    return agg.zero_weight_summary(_elastic_net_weights(spark, d))
+
+
+@query("word_weight_extremes")
+def q_word_weight_extremes(spark, d):
+    return agg.top_bottom(_elastic_net_weights(spark, d), "weight", "word", 15)
+
+
+def _grid(spark, d):
+    _, feats = _review_features(spark, d, "train")
+    res, models = TM.grid_search(
+        spark, feats.where(F.col("split") == "train"),
+        feats.where(F.col("split") == "validation"), "quality",
+        REG_PARAMS, ELASTIC_NET_PARAMS)
+    return feats, res, models
+
+
+@query("grid_search")
+def q_grid_search(spark, d):
+    feats, res, _ = _grid(spark, d)
+    best = agg.best_by(res, "accuracy", ["grid_index"]).select(
+        F.col("grid_index").alias("_best"))
+    out = res.join(F.broadcast(best), res.grid_index == best._best, "left") \
+        .select(*res.columns, F.col("_best").isNotNull().alias("is_best"))
+    return out
+
+
+def _best_scored(spark, d):
+    feats, res, models = _grid(spark, d)
+    best_idx = agg.best_by(res, "accuracy", ["grid_index"]).first()["grid_index"]
+    return models[best_idx].transform(feats)
+
+
+@query("score_all")
+def q_score_all(spark, d):
+    return _best_scored(spark, d).select("doc_id", "source", "quality", "prediction")
+
+
+@query("entity_report")
+def q_entity_report(spark, d):
+    return TM.entity_report(_best_scored(spark, d), "source",
+                            BUSY_SOURCE_THRESHOLD)
