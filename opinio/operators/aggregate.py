@@ -111,9 +111,12 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str],
     qs = df.agg(F.percentile_approx(order_col, probs, 10_000).alias("q")).first()["q"]
     edges = sorted({float(x) for x in (qs or []) if x is not None})
     splits = [float("-inf")] + edges + [float("inf")]
-    dd = df.withColumn("_ord_d", F.col(order_col).cast("double"))
-    bucketed = Bucketizer(splits=splits, inputCol="_ord_d", outputCol="_bkt",
-                          handleInvalid="keep").transform(dd).drop("_ord_d")
+    if edges:
+        dd = df.withColumn("_ord_d", F.col(order_col).cast("double"))
+        bucketed = Bucketizer(splits=splits, inputCol="_ord_d", outputCol="_bkt",
+                              handleInvalid="keep").transform(dd).drop("_ord_d")
+    else:
+        bucketed = df.withColumn("_bkt", F.lit(0.0))
     totals = bucketed.groupBy(*by, "_bkt").agg(
         *[F.sum(c).alias("_t_" + c) for c in sum_cols])
     w_tot = (Window.partitionBy(*by).orderBy("_bkt")
