@@ -458,6 +458,7 @@ def q_random_split(spark, d):
 
 
 # ------------------------------------------------------ least squares ----
+from pyspark import StorageLevel  # noqa: E402
 from opinio.functions.columns import significant  # noqa: E402
 from opinio.plans import metrics as M  # noqa: E402
 from opinio.plans import regression as RG  # noqa: E402
@@ -470,7 +471,7 @@ RUNS = [(V.RATINGS.subset(letters), fit, score) for letters, fit, score in OLS_R
 def _filled_ratings(spark, d):
     """Labelled, split ratings; discount/tax NULLs filled with TRAINING
     means (no leakage from validation/test)."""
-    r = V.ratings_split(spark, d)
+    r = V.ratings_split(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
     return clean.impute_mean(r.where(F.col("split") == "train"), r,
                              ["l_discount", "l_tax"])
 
@@ -564,6 +565,7 @@ def q_auc(spark, d):
 
 
 # --------------------------------------------------------- classifiers ----
+from opinio.operators.partition import persist_for_iterations  # noqa: E402
 from opinio.plans import classify as CL  # noqa: E402
 from opinio.plans import textmodels as TM  # noqa: E402
 from opinio.specs import ELASTIC_NET_PARAMS, REG_PARAMS  # noqa: E402
@@ -584,13 +586,13 @@ def _labelled_double(spark, d):
 
 
 def _logreg_model(spark, d):
-    f = _labelled_double(spark, d)
+    f = persist_for_iterations(_labelled_double(spark, d))
     return f, CL.logreg_estimator(SUB_RATINGS, "label", 0.1).fit(
         f.where(F.col("split") == "train"))
 
 
 def _forest_model(spark, d):
-    f = _labelled_double(spark, d)
+    f = persist_for_iterations(_labelled_double(spark, d))
     return f, CL.forest_estimator(SUB_RATINGS, "label", seed=42).fit(
         f.where(F.col("split") == "train"))
 

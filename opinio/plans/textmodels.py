@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +21,7 @@ from pyspark.sql import types as T
 
 from opinio.functions.columns import match_flag
 from opinio.operators.aggregate import mean_with_error
+from opinio.operators.partition import persist_for_iterations
 from opinio.operators.text import MIN_DF, VOCAB_SIZE, fitted_vocabulary, tfidf_estimator
 
 
@@ -36,7 +36,7 @@ def featurize(fit_df: DataFrame, apply_df: DataFrame, text: str,
     feats = model.transform(apply_df.where(F.col(text).isNotNull())).select(
         *keep, "tfidf")
     if persist:
-        feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+        feats = persist_for_iterations(feats)
     return model, feats
 
 
@@ -71,7 +71,7 @@ GRID_SCHEMA = T.StructType([
 
 def grid_search(spark: SparkSession, train: DataFrame, validation: DataFrame,
                 label: str, reg_params: list[float], elastic_nets: list[float],
-                max_iter: int = 100, parallelism: int = 4):
+                max_iter: int = 100, parallelism: int | None = None):
     """Fit every grid point (regParam-major order), score all on the
     validation rows in one pass. Returns (results DataFrame, models by grid
     index)."""
@@ -81,7 +81,10 @@ def grid_search(spark: SparkSession, train: DataFrame, validation: DataFrame,
     def fit(key):
         return key, logreg(label, key[0], key[1], max_iter).fit(train)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    # concurrent fits: each iteration of one fit is a short job, so several
+    # fits keep the cluster busy (as CrossValidator's ``parallelism``)
+    workers = parallelism or len(distinct)
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         fitted = dict(pool.map(fit, distinct))
 
     scored = validation

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from opinio.functions.columns import letter_tokens
 from opinio.operators.split import hash_split
+from opinio.session import checkpoint_root
+from opinio.sources.readers import read_parquet
 from opinio.specs import ReviewSpec
 
 # The eight numeric features of the ratings view, in rating
@@ -40,8 +42,15 @@ RATINGS = ReviewSpec(entity_col="l_suppkey", text_col="",
                      rating_cols=RATING_FEATURES)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+# row keys used to spread a table that arrives in too few splits
+SPREAD_KEYS = {"documents": "doc_id", "lineitem": "l_orderkey",
+               "events": "event_id", "pages": "page_id"}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str,
+          spread_out: bool = True) -> DataFrame:
+    return read_parquet(spark, os.path.join(sf_dir, f"{name}.parquet"),
+                        spread_out, SPREAD_KEYS.get(name))
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +58,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    labels = table(spark, sf_dir, "labels", spread_out=False).select("doc_id", "quality")
     return docs(spark, sf_dir).join(labels, "doc_id")
 
 
@@ -62,8 +71,12 @@ def ratings(spark: SparkSession, sf_dir: str,
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
     if labelled_only:
         li = li.where(F.col("l_returnflag").isin("R", "A"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
+    # dimension sides: joined as they are scanned (broadcast when their size
+    # allows it, else shuffled by key) -- no redistribution of their own
+    orders = table(spark, sf_dir, "orders", spread_out=False).select(
+        "o_orderkey", "o_totalprice")
+    part = table(spark, sf_dir, "part", spread_out=False).select(
+        "p_partkey", "p_size", "p_retailprice")
     joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
               .join(part, li.l_partkey == part.p_partkey))
     label = (F.when(F.col("l_returnflag") == "R", F.lit(1))
@@ -91,13 +104,22 @@ def reviews_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_split(reviews(spark, sf_dir), "doc_id")
 
 
-def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lexicon(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     """``(word, sentiment)``: a quarter of the distinct letter tokens of the
-    corpus, scored +1 / -1 from their md5."""
+    corpus, scored +1 / -1 from their md5.
+
+    A lexicon is an input table; this stand-in is derived from the corpus,
+    so it is materialised once (reliable checkpoint in the shared folder):
+    its size check and its join then read the written copy instead of
+    re-tokenising the corpus."""
     words = docs(spark, sf_dir).select(
         F.explode(letter_tokens("text")).alias("word")).distinct()
     h = F.md5(F.col("word"))
-    return (words.where(F.substring(h, 2, 1).isin("0", "1", "2", "3"))
+    lex = (words.where(F.substring(h, 2, 1).isin("0", "1", "2", "3"))
             .select("word",
                     F.when(F.ascii(F.substring(h, 1, 1)) < 56, F.lit(1))
                     .otherwise(F.lit(-1)).alias("sentiment")))
+    if materialize:
+        checkpoint_root(spark)
+        lex = lex.checkpoint(eager=True)
+    return lex

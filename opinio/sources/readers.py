@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinio.operators.partition import spread
 from opinio.specs import all_string_schema
 
 
@@ -80,3 +81,9 @@ def load_stop_words(spark: SparkSession, path: str | None = None) -> list[str]:
         from pyspark.ml.feature import StopWordsRemover
         return list(StopWordsRemover.loadDefaultStopWords("english"))
     return [r[0] for r in read_word_list(spark, path).distinct().collect()]
+
+
+def read_parquet(spark: SparkSession, path: str, spread_out: bool = True,
+                 key: str | None = None) -> DataFrame:
+    df = spark.read.parquet(path)
+    return spread(df, key=key) if spread_out else df
