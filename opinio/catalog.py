@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from opinio import oracle as O
 from opinio.functions.columns import (
+    whitespace_tokens,
     label_int,
     lenient_double,
     letter_tokens,
@@ -156,14 +157,14 @@ def _pos_sql(arr_sql: str, src: str = "documents", key: str = "doc_id") -> str:
 
 @query("tokenize_whitespace", _pos_sql(O.ws_tokens("text")))
 def q_tokenize_whitespace(spark, d):
-    t = text.tokenize(V.docs(spark, d), "text", "words", "whitespace")
-    return text.explode_tokens(t, ["doc_id"], with_pos=True)
+    return text.explode_tokens(V.docs(spark, d), ["doc_id"],
+                               whitespace_tokens("text"), with_pos=True)
 
 
 @query("tokenize_letters", _pos_sql(O.letters("text")))
 def q_tokenize_letters(spark, d):
-    t = text.tokenize(V.docs(spark, d), "text", "words", "letters")
-    return text.explode_tokens(t, ["doc_id"], with_pos=True)
+    return text.explode_tokens(V.docs(spark, d), ["doc_id"],
+                               letter_tokens("text"), with_pos=True)
 
 
 _FILTERED = f"list_filter({O.letters('text')}, lambda w: lower(w) NOT IN ({O.STOPS}))"
@@ -171,16 +172,14 @@ _FILTERED = f"list_filter({O.letters('text')}, lambda w: lower(w) NOT IN ({O.STO
 
 @query("remove_stopwords", _pos_sql(_FILTERED))
 def q_remove_stopwords(spark, d):
-    t = text.tokenize(V.docs(spark, d), "text", "words", "letters")
-    t = text.remove_stop_words(t, "words", "filtered", STOP_WORDS)
-    return text.explode_tokens(t, ["doc_id"], tokens="filtered", with_pos=True)
+    toks = text.without_stop_words(letter_tokens("text"), STOP_WORDS)
+    return text.explode_tokens(V.docs(spark, d), ["doc_id"], toks, with_pos=True)
 
 
 @query("explode_words", f"""
 SELECT source, unnest({O.letters('text')}) AS word FROM documents""")
 def q_explode_words(spark, d):
-    t = text.tokenize(V.docs(spark, d), "text", "words", "letters")
-    return text.explode_tokens(t, ["source"])
+    return text.explode_tokens(V.docs(spark, d), ["source"], letter_tokens("text"))
 
 
 @query("term_counts", f"""
@@ -188,8 +187,9 @@ SELECT doc_id, word, count(*) AS n
 FROM (SELECT doc_id, unnest({O.ws_tokens('text')}) AS word FROM documents) t
 GROUP BY doc_id, word""")
 def q_term_counts(spark, d):
-    t = text.tokenize(V.docs(spark, d), "text", "words", "whitespace")
-    return text.term_counts(text.explode_tokens(t, ["doc_id"]), "doc_id")
+    words = text.explode_tokens(V.docs(spark, d), ["doc_id"],
+                                whitespace_tokens("text"))
+    return text.term_counts(words, "doc_id")
 
 
 _COUNTS_SQL = f"""counts AS (
@@ -207,9 +207,9 @@ idf AS (
 
 
 def _counts(spark, d):
-    t = text.tokenize(V.docs(spark, d), "text", "words", "letters")
-    t = text.remove_stop_words(t, "words", "filtered", STOP_WORDS)
-    return text.term_counts(text.explode_tokens(t, ["doc_id"], "filtered"), "doc_id")
+    toks = text.without_stop_words(letter_tokens("text"), STOP_WORDS)
+    words = text.explode_tokens(V.docs(spark, d), ["doc_id"], toks)
+    return text.term_counts(words, "doc_id")
 
 
 def _idf(spark, d):

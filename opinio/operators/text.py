@@ -22,7 +22,7 @@ from pyspark.ml.feature import (
     StopWordsRemover,
     Tokenizer,
 )
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinio.functions.columns import letter_tokens, whitespace_tokens
@@ -41,21 +41,32 @@ def tokenize(df: DataFrame, text: str, out: str = "words",
     return df.withColumn(out, expr)
 
 
-def explode_tokens(df: DataFrame, keep: list[str], tokens: str = "words",
-                   out: str = "word", with_pos: bool = False) -> DataFrame:
-    """One row per token. Empty arrays produce no rows."""
+def explode_tokens(df: DataFrame, keep: list[str],
+                   tokens: str | Column = "words", out: str = "word",
+                   with_pos: bool = False) -> DataFrame:
+    """One row per token; empty arrays produce no rows.
+
+    Pass the token *expression* (``letter_tokens(...)``) rather than a
+    column holding it: for an exploded column Catalyst infers a
+    ``size(tokens) > 0`` filter and pushes it below the projection, so the
+    tokeniser would run twice -- once before any redistribution of the
+    scan. An exploded expression gets no inferred filter."""
     if with_pos:
         return df.select(*keep, F.posexplode(tokens).alias("pos", out))
     return df.select(*keep, F.explode(tokens).alias(out))
 
 
+def without_stop_words(tokens: Column, stop_words: Iterable[str]) -> Column:
+    """Token array minus stop words, case-insensitive (an InSet probe per
+    token; the list is a bounded parameter)."""
+    stops = sorted({w.lower() for w in stop_words})
+    return F.filter(tokens, lambda w: ~F.lower(w).isin(stops))
+
+
 def remove_stop_words(df: DataFrame, tokens: str, out: str,
                       stop_words: Iterable[str]) -> DataFrame:
-    """Case-insensitive removal inside the array (an InSet probe per token;
-    the list is a bounded parameter)."""
-    stops = sorted({w.lower() for w in stop_words})
-    return df.withColumn(
-        out, F.filter(F.col(tokens), lambda w: ~F.lower(w).isin(stops)))
+    """Array-column form of ``without_stop_words``."""
+    return df.withColumn(out, without_stop_words(F.col(tokens), stop_words))
 
 
 def drop_stop_word_rows(words: DataFrame, stop_words: Iterable[str],

@@ -37,6 +37,10 @@ def test_relational_tfidf_matches_ml_pipeline(spark):
     t = text.tokenize(docs, "text", "words", "letters")
     t = text.remove_stop_words(t, "words", "filtered", STOP_WORDS)
     counts = text.term_counts(text.explode_tokens(t, ["doc_id"], "filtered"), "doc_id")
+    via_expr = text.term_counts(text.explode_tokens(
+        docs, ["doc_id"], text.without_stop_words(letter_tokens("text"), STOP_WORDS)),
+        "doc_id")
+    assert counts.exceptAll(via_expr).count() == 0 and via_expr.exceptAll(counts).count() == 0
     idf = text.idf_weights(text.vocabulary(counts), docs.count())
     rel = {(r.doc_id, r.word): r.tfidf for r in text.tfidf(counts, idf, "doc_id").collect()}
     # words with idf 0 vanish from the ML vectors; compare the rest
