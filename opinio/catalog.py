@@ -661,9 +661,10 @@ def _review_features(spark, d, fit_on: str = "train"):
     model, whose vocabulary saw every review)."""
     rv = split.hash_split(V.reviews(spark, d), "doc_id").withColumn(
         "quality", F.col("quality").cast("double"))
-    fit_df = rv if fit_on == "all" else rv.where(F.col("split") == "train")
-    return TM.featurize(fit_df, rv, "text", list(STOP_WORDS),
-                        ["doc_id", "source", "quality", "split"])
+    fit_filter = F.lit(True) if fit_on == "all" else F.col("split") == "train"
+    return TM.featurize(None, rv, "text", list(STOP_WORDS),
+                        ["doc_id", "source", "quality", "split"],
+                        fit_filter=fit_filter)
 
 
 def _text_fit(spark, d, fit_on, reg, en):

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,15 +30,34 @@ from opinio.operators.text import MIN_DF, VOCAB_SIZE, fitted_vocabulary, tfidf_e
 def featurize(fit_df: DataFrame, apply_df: DataFrame, text: str,
               stop_words: list[str], keep: list[str],
               vocab_size: int = VOCAB_SIZE, min_df: float = MIN_DF,
-              persist: bool = True):
-    """Fit tokeniser -> stop words -> counts -> IDF on ``fit_df`` and turn
-    ``apply_df`` into ``keep + [tfidf]``. Returns (model, features)."""
-    model = tfidf_estimator(text, stop_words, vocab_size, min_df).fit(
-        fit_df.where(F.col(text).isNotNull()))
-    feats = model.transform(apply_df.where(F.col(text).isNotNull())).select(
-        *keep, "tfidf")
+              persist: bool = True, fit_filter=None):
+    """Fit tokeniser -> stop words -> counts -> IDF and turn ``apply_df``
+    into ``keep + [tfidf]``. Returns (PipelineModel, features).
+
+    When ``fit_filter`` is given, ``fit_df`` is ignored and the vocabulary /
+    IDF are fitted on ``apply_df.where(fit_filter)``: the corpus is then
+    tokenised ONCE (tokens persisted) instead of once per fitted stage and
+    once more for the transform -- tokenising is the dominant cost."""
+    est = tfidf_estimator(text, stop_words, vocab_size, min_df)
+    tok, sw, cv, idf = est.getStages()
+    if fit_filter is None:
+        model = est.fit(fit_df.where(F.col(text).isNotNull()))
+        feats = model.transform(apply_df.where(F.col(text).isNotNull()))
+    else:
+        # fit_filter may only reference ``keep`` columns
+        tokens = sw.transform(tok.transform(
+            apply_df.where(F.col(text).isNotNull()))).select(*keep, "filtered")
+        tokens = tokens.persist(StorageLevel.MEMORY_AND_DISK)
+        fit_rows = tokens.where(fit_filter)
+        cv_model = cv.fit(fit_rows)
+        idf_model = idf.fit(cv_model.transform(fit_rows))
+        model = PipelineModel(stages=[tok, sw, cv_model, idf_model])
+        feats = idf_model.transform(cv_model.transform(tokens))
+    feats = feats.select(*keep, "tfidf")
     if persist:
         feats = persist_for_iterations(feats)
+        if fit_filter is not None:
+            tokens.unpersist()
     return model, feats
 
 
