@@ -95,7 +95,7 @@ def top_bottom(df: DataFrame, weight: str, key: str, k: int) -> DataFrame:
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str],
-                by: list[str] | None = None, buckets: int = 64,
+                by: list[str] | None = None, buckets: int | None = None,
                 suffix: str = "_before") -> DataFrame:
     """For every row, the sums of ``sum_cols`` over all rows (of the same
     ``by`` group) with a strictly smaller ``order_col``.
@@ -107,6 +107,11 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str],
     within a group (pre-aggregate first).
     """
     by = list(by or [])
+    if buckets is None:
+        # ranges scale with the cluster's shuffle width, so each stays a
+        # bounded slice of the distinct values (>= 64 ranges)
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        buckets = max(64, 2 * parts)
     probs = [i / buckets for i in range(1, buckets)]
     qs = df.agg(F.percentile_approx(order_col, probs, 10_000).alias("q")).first()["q"]
     edges = sorted({float(x) for x in (qs or []) if x is not None})
@@ -124,8 +129,11 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str],
     offsets = totals.select(*by, "_bkt", *[
         F.coalesce(F.sum("_t_" + c).over(w_tot), F.lit(0)).alias("_o_" + c)
         for c in sum_cols])
-    joined = bucketed.join(F.broadcast(offsets), [*by, "_bkt"]) \
-        if len(splits) <= 1_000 and not by else bucketed.join(offsets, [*by, "_bkt"])
+    # the offsets table has one row per (group, range): bounded by the range
+    # count when there are no groups, so it is broadcast; with groups, the
+    # join strategy is left to the planner
+    joined = (bucketed.join(F.broadcast(offsets), [*by, "_bkt"]) if not by
+              else bucketed.join(offsets, [*by, "_bkt"]))
     w_in = (Window.partitionBy(*by, "_bkt").orderBy(order_col)
             .rowsBetween(Window.unboundedPreceding, -1))
     out = joined.select(

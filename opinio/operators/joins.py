@@ -23,7 +23,17 @@ def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                 max_broadcast_rows: int = 2_000_000,
+                 materialize: bool = False) -> DataFrame:
+    """Join, broadcasting ``small`` only when its size is checked.
+
+    ``materialize`` writes a derived small side once (reliable checkpoint in
+    the shared checkpoint folder) so the size check and the join read the
+    written rows instead of computing it twice."""
+    if materialize:
+        from opinio.session import checkpoint_root
+        checkpoint_root(small.sparkSession)
+        small = small.checkpoint(eager=True)
     return big.join(maybe_broadcast(small, max_broadcast_rows), on, how)
 
 

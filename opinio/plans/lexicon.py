@@ -63,8 +63,10 @@ def entity_prediction_join(df: DataFrame, entity: str,
                            max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Attach each entity's prediction to its reviews (inner: reviews of
     entities without a prediction drop out). One row per entity on the
-    small side, broadcast when its count is checked."""
-    return join_checked(df, predictions, entity, "inner", max_broadcast_rows)
+    small side, computed once (written to the checkpoint folder), broadcast
+    when its count is checked."""
+    return join_checked(df, predictions, entity, "inner", max_broadcast_rows,
+                        materialize=True)
 
 
 def lexicon_accuracy(df: DataFrame, entity: str, label: str,

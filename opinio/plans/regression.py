@@ -74,7 +74,10 @@ def standardize(fit_df: DataFrame, apply_df: DataFrame, features: list[str],
 
 def split_moments(df: DataFrame, cols: list[str], split_col: str) -> dict:
     """Per split: n, mean vector and population covariance matrix of
-    ``cols`` -- one grouped aggregation with partial (map-side) buffers."""
+    ``cols`` -- one grouped aggregation with partial (map-side) buffers.
+    Rows with a missing value in any column are left out as a whole (fill
+    first), so every moment is over the same rows."""
+    df = df.na.drop(subset=list(cols))
     pairs = list(combinations_with_replacement(range(len(cols)), 2))
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)]
@@ -160,3 +163,14 @@ def subset_coefficients(spark: SparkSession, df: DataFrame, label: str,
         rows += [(n, f, float(w)) for f, w in zip(fs, b)]
         rows.append((n, "intercept", float(b0)))
     return spark.createDataFrame(rows, "run int, column string, weight double")
+
+
+def ols_subset_report(spark: SparkSession, df: DataFrame, spec,
+                      runs=None, split_col: str = "split") -> DataFrame:
+    """The OLS subset comparison for a review layout: runs given as
+    (rating codes, fit split, score split), e.g. ``specs.OLS_RUNS``."""
+    from opinio.specs import OLS_RUNS
+
+    runs = runs or OLS_RUNS
+    resolved = [(spec.subset(codes), fit, score) for codes, fit, score in runs]
+    return subset_mse_report(spark, df, spec.label_col, resolved, split_col)
