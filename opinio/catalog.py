@@ -44,7 +44,8 @@ def query(name: str, sql: str | None = None):
 
 
 def r6(c):
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Round to 6 decimals; ``+ 0.0`` turns a rounded -0.0 into 0.0."""
+    return F.round(F.col(c) if isinstance(c, str) else c, 6) + F.lit(0.0)
 
 
 STOP_WORDS = bundled_stop_words("english")
@@ -491,7 +492,7 @@ WITH {O.RATINGS_CTE}, {O.filled_ratings_cte(FEATURES)},
 st AS (SELECT {', '.join(f'avg({f}) AS m_{f}, stddev_samp({f}) AS s_{f}' for f in FEATURES)}
        FROM filled WHERE split = 'train')
 SELECT l_orderkey, line,
-       {', '.join(f'round(({f} - m_{f}) / s_{f}, 6) AS z_{f}' for f in FEATURES)}
+       {', '.join(f'round(({f} - m_{f}) / s_{f}, 6) + 0.0 AS z_{f}' for f in FEATURES)}
 FROM filled, st""")
 def q_standardize(spark, d):
     f = _filled_ratings(spark, d)
