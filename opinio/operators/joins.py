@@ -1,7 +1,7 @@
 """Joins whose broadcast side is size-checked (J1, J2, P11 semi-join).
 
-A side is broadcast only after a bounded count proves it has at most
-``max_rows`` rows; beyond that the join is left to a shuffle join (with AQE
+A side is broadcast only after a count proves it has at most ``max_rows``
+rows; beyond that the join is left to a shuffle join (with AQE
 free to switch strategy from runtime statistics and to split skewed
 partitions).
 """
@@ -13,9 +13,15 @@ from pyspark.sql import functions as F
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has <= max_rows rows. Reads at most max_rows + 1
-    rows of the (already reduced) frame, never the whole input."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has <= max_rows rows.
+
+    A plain distributed count (partial counts per partition, one number per
+    task to the driver). ``limit(max_rows + 1).count()`` would look cheaper
+    but funnels up to max_rows rows from EVERY partition into one task;
+    parquet inputs answer a count from file footers anyway, and derived
+    small sides are materialised first (``join_checked(materialize=True)``).
+    """
+    return df.count() <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
