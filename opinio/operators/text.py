@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
     IDF,
@@ -95,16 +96,41 @@ def vocabulary(counts: DataFrame, word: str = "word", n: str = "n",
     ``counts`` is the ``(doc, word, n)`` table, so one row per document
     per word: a word in a third of all documents is a partial-aggregated
     group, not a skewed task.
+
+    The size cut avoids a global top-``vocab_size`` sort (which would send
+    up to ``vocab_size`` rows from every partition to one task): when more
+    words qualify than fit, the count threshold is found from the
+    histogram of word frequencies with distributed prefix sums; words above
+    it are kept as they are, and only the words tied AT the threshold are
+    ordered by word to fill the remaining places.
     """
+    from opinio.operators.aggregate import prefix_sums
+
     stats = counts.groupBy(word).agg(
         F.count(F.lit(1)).alias("doc_freq"),
         F.sum(n).cast("bigint").alias("term_count"))
     threshold = min_df if min_df >= 1.0 else min_df * float(n_docs or 0)
-    kept = stats.where(F.col("doc_freq") >= F.lit(threshold))
-    ranked = kept.orderBy(F.desc("term_count"), F.asc(word)).limit(vocab_size)
+    kept = stats.where(F.col("doc_freq") >= F.lit(threshold)).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    if kept.count() <= vocab_size:
+        chosen = kept
+    else:
+        hist = kept.groupBy("term_count").agg(F.count(F.lit(1)).alias("n_words"))
+        hist = hist.withColumn("_neg", -F.col("term_count").cast("double"))
+        # n_words_before = number of words with a strictly larger count
+        ranked = prefix_sums(hist, "_neg", ["n_words"])
+        cut = (ranked.where(F.col("n_words_before") < vocab_size)
+               .orderBy("term_count").limit(1).first())
+        c, before, n_at = cut["term_count"], cut["n_words_before"], cut["n_words"]
+        if before + n_at <= vocab_size:
+            chosen = kept.where(F.col("term_count") >= c)
+        else:
+            ties = (kept.where(F.col("term_count") == c)
+                    .orderBy(F.asc(word)).limit(int(vocab_size - before)))
+            chosen = kept.where(F.col("term_count") > c).unionByName(ties)
     # index = rank in the vocabulary; the frame is bounded by vocab_size
     w = Window.orderBy(F.desc("term_count"), F.asc(word))
-    return ranked.withColumn("term_index", F.row_number().over(w) - 1)
+    return chosen.withColumn("term_index", F.row_number().over(w) - 1)
 
 
 def idf_weights(vocab: DataFrame, n_docs, word: str = "word") -> DataFrame:

@@ -225,3 +225,26 @@ def test_s6_csv_sink_roundtrip(spark):
     path = readers.write_csv(w, scratch_path(spark, "w"), single_file=True)
     back = readers.read_review_csv(spark, path, w.schema)
     assert sorted(back.collect()) == sorted(w.collect())
+
+
+def test_vocab_cut_equals_full_sort(spark):
+    """Threshold + tie fill gives exactly the top-N of a full sort."""
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for w in range(400):
+        docs = rnd.randint(1, 12)
+        for d in range(docs):
+            rows.append((d, f"w{w:03d}", rnd.choice([1, 1, 2, 3])))
+    counts = spark.createDataFrame(rows, "doc int, word string, n long")
+    for size in (1, 7, 50, 123, 399, 1000):
+        got = [(r.word, r.term_index) for r in
+               text.vocabulary(counts, min_df=2.0, vocab_size=size).collect()]
+        stats = {}
+        for d, w, n in rows:
+            df_, tc = stats.get(w, (set(), 0))
+            df_.add(d)
+            stats[w] = (df_, tc + n)
+        cand = sorted(((-tc, w) for w, (ds, tc) in stats.items() if len(ds) >= 2))
+        want = [(w, i) for i, (_, w) in enumerate(cand[:size])]
+        assert sorted(got, key=lambda x: x[1]) == want
