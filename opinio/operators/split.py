@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,10 @@ def random_split(df: DataFrame, weights=(0.6, 0.3, 0.1), seed: int = 0,
                  names=SPLITS, col: str = "split") -> DataFrame:
     """``randomSplit`` with the parts tagged and unioned back (R1 parity).
     Depends on the input partitioning; prefer ``hash_split``."""
+    # randomSplit evaluates its input once per part; persisted input keeps
+    # the parts disjoint and complete even if a recomputation would order
+    # rows differently
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     parts = df.randomSplit(list(weights), seed=seed)
     tagged = [p.withColumn(col, F.lit(n)) for p, n in zip(parts, names)]
     out = tagged[0]

@@ -34,8 +34,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or an already set
-    checkpoint dir). Only when neither is set -- local tests -- a folder
-    under the system temp dir is created and registered.
+    checkpoint dir). Only when neither is set AND the master is local
+    (tests) a folder under the system temp dir is created and registered;
+    on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +47,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        # executors on other machines cannot share a driver-local folder
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder "
+                           "(e.g. on the cluster file system)")
     local = tempfile.mkdtemp(prefix="opinio-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
