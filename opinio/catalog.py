@@ -537,13 +537,15 @@ def q_best_by_metric(spark, d):
         "run", "features", "mse")
 
 
-@query("scored_preview")
+@query("scored_preview", O.ols_preview_sql(RUNS[10][0], "train", "test", 20))
 def q_scored_preview(spark, d):
-    """Run 11's model scores the test split; first 20 negatives by key."""
+    """Run 11's model scores the test split; first 20 negatives by key (a
+    top-20, the feature itself)."""
     f = _filled_ratings(spark, d)
     model = RG.fit_ols(f.where(F.col("split") == "train"), RUNS[10][0], "label")
     scored = model.transform(f.where(F.col("split") == "test"))
-    return (scored.select("l_orderkey", "line", "l_suppkey", "prediction", "label")
+    return (scored.select("l_orderkey", "line", "l_suppkey",
+                          r6("prediction").alias("prediction"), "label")
             .where(F.col("label") == 0).orderBy("l_orderkey", "line").limit(20))
 
 

@@ -78,7 +78,8 @@ def sig(x: str, digits: int = 7) -> str:
 # column holds the OLS residual (Frisch-Waugh-Lovell), for fit and score rows.
 
 def residual_chain(prefix: str, src: str, regress_on: list[str],
-                   carry: list[str], fit_split: str) -> tuple[list[str], str]:
+                   carry: list[str], fit_split: str,
+                   keep: tuple[str, ...] = ()) -> tuple[list[str], str]:
     ctes, cur = [], src
     remaining = list(regress_on)
     step = 0
@@ -91,7 +92,8 @@ def residual_chain(prefix: str, src: str, regress_on: list[str],
         ctes.append(f"{s} AS (SELECT {fits} FROM {cur} WHERE split = '{fit_split}')")
         res = ", ".join(f"{cur}.{t} - ({s}.a_{t} + {s}.b_{t} * {cur}.{x}) AS {t}"
                         for t in targets)
-        ctes.append(f"{r} AS (SELECT {cur}.split, {res} FROM {cur}, {s})")
+        passed = "".join(f"{cur}.{k}, " for k in keep)
+        ctes.append(f"{r} AS (SELECT {cur}.split, {passed}{res} FROM {cur}, {s})")
         cur, remaining, step = r, rest, step + 1
     return ctes, cur
 
@@ -105,7 +107,7 @@ def filled_ratings_cte(features: list[str], name: str = "filled") -> str:
                         f"WHERE split = 'train')) AS {f}")
         else:
             cols.append(f)
-    return (f"{name} AS (SELECT l_orderkey, line, l_suppkey, split, "
+    return (f"{name} AS (SELECT l_orderkey, line, l_suppkey, split, label, "
             f"CAST(label AS DOUBLE) AS y, {', '.join(cols)} FROM ratings)")
 
 
@@ -153,3 +155,16 @@ def ols_mse_sql(features: list[str], fit_split: str, score_split: str) -> str:
     return ("WITH " + ",\n".join(ctes) +
             f"\nSELECT round(avg(y * y), 6) AS mse FROM {last} "
             f"WHERE split = '{score_split}'")
+
+
+def ols_preview_sql(features: list[str], fit_split: str, score_split: str,
+                    k: int = 20) -> str:
+    """Predictions (label - OLS residual) of the first ``k`` negatives."""
+    ctes = [RATINGS_CTE, filled_ratings_cte(features)]
+    chain, last = residual_chain("p", "filled", features, [], fit_split,
+                                 keep=("l_orderkey", "line", "l_suppkey", "label"))
+    ctes += chain
+    return ("WITH " + ",\n".join(ctes) +
+            f"\nSELECT l_orderkey, line, l_suppkey, round(label - y, 6) + 0.0 AS prediction, "
+            f"label FROM {last} WHERE split = '{score_split}' AND label = 0 "
+            f"ORDER BY l_orderkey, line LIMIT {k}")
