@@ -81,7 +81,8 @@ def test_auc_matches_evaluator(spark):
 
 @pytest.mark.parametrize("name", [
     "lexicon_entity_sentiment", "hash_split", "pruned_vocabulary", "auc",
-    "subset_mse_report", "entity_mean_2se",
+    "subset_mse_report", "entity_mean_2se", "tfidf", "top_bottom_words",
+    "lexicon_accuracy", "busy_entities", "impute_mean",
 ])
 def test_partitioning_does_not_change_results(spark, name):
     """Same answer with 1 and 7 shuffle partitions."""
