@@ -54,3 +54,21 @@ def test_airline_ols_report_runs_all_13(spark):
     assert all(r.mse is not None and r.mse >= 0 for r in rep)
     ready2 = model_ready(df, AIRLINE)
     assert ready2.where("overall_ratingf IS NULL").count() == 0
+
+
+def test_airport_layout(spark):
+    from opinio.specs import AIRPORT, AIRPORT_COLUMNS
+    d = tempfile.mkdtemp(prefix="opinio-airport-")
+    path = os.path.join(d, "airport.csv")
+    with open(path, "w", newline="", encoding="utf-8") as fh:
+        w = csv.writer(fh)
+        w.writerow(AIRPORT_COLUMNS)
+        base = ["dubai-airport", "/a/1", "t", "a", "uk", "2015", "long queue", "transit",
+                "2015-05", "Solo"]
+        w.writerow(base + ["4", "3", "x", "5", "", "2", "1", "1", "3", "0"])
+        w.writerow(base[:1] + ["/a/2"] + base[2:] + ["9"] * 9 + ["1"])
+    df = load_reviews(spark, path, AIRPORT_COLUMNS, AIRPORT)
+    got = {r.link: (r.queuing_ratingf, r.terminal_cleanliness_ratingf, r.recommendedi)
+           for r in df.collect()}
+    assert got == {"/a/1": (3.0, None, 0), "/a/2": (9.0, 9.0, 1)}
+    assert len(AIRPORT.rating_cols) == 9
