@@ -72,6 +72,18 @@ def q_lexicon_entity_sentiment(spark, d):
                       "predicted")
 
 
+@query("lexicon_coverage", f"""
+WITH {O.LEXICON_CTE},
+toks AS (SELECT source, unnest({O.letters('text')}) AS word
+         FROM documents WHERE text IS NOT NULL)
+SELECT source, count(*) AS n_words, count(sentiment) AS n_scored,
+       round(count(sentiment) / count(*), 6) AS coverage
+FROM toks LEFT JOIN lex USING (word) GROUP BY source""")
+def q_lexicon_coverage(spark, d):
+    out = lx.lexicon_coverage(V.docs(spark, d), "source", "text", V.lexicon(spark, d))
+    return out.select("source", "n_words", "n_scored", r6("coverage").alias("coverage"))
+
+
 _REVIEW_POLARITY_SQL = f"""{O.LEXICON_CTE}, {O.REVIEWS_CTE},
 pol AS (SELECT source,
                CAST(CASE WHEN avg(sentiment) > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS predicted

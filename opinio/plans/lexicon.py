@@ -78,3 +78,18 @@ def lexicon_accuracy(df: DataFrame, entity: str, label: str,
     if by:
         return flagged.groupBy(*by).agg(F.avg("correct").alias("accuracy"))
     return flagged.agg(F.avg("correct").alias("accuracy"))
+
+
+def lexicon_coverage(df: DataFrame, entity: str, text: str, lexicon: DataFrame,
+                     max_broadcast_rows: int = MAX_BROADCAST_LEXICON_ROWS
+                     ) -> DataFrame:
+    """Per entity: word occurrences, how many the lexicon scores, and the
+    share -- the inner join of the polarity silently drops the rest, and an
+    entity with coverage 0 has no polarity at all."""
+    words = entity_words(df, entity, text)
+    lex = lexicon.select("word", F.lit(1).alias("_hit"))
+    joined = join_checked(words, lex, "word", "left", max_broadcast_rows)
+    return joined.groupBy(entity).agg(
+        F.count(F.lit(1)).alias("n_words"),
+        F.count("_hit").alias("n_scored"),
+        F.avg(F.coalesce(F.col("_hit"), F.lit(0)).cast("double")).alias("coverage"))
