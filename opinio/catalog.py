@@ -10,27 +10,33 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinio import oracle as O
 from opinio.functions.columns import (
-    whitespace_tokens,
     label_int,
     lenient_double,
     letter_tokens,
     match_flag,
     polarity,
+    significant,
+    whitespace_tokens,
 )
 from opinio.functions.stopwords import bundled_stop_words
 from opinio.operators import aggregate as agg
 from opinio.operators import clean, split, text
+from opinio.operators.partition import persist_for_iterations
+from opinio.plans import classify as CL
 from opinio.plans import lexicon as lx
+from opinio.plans import metrics as M
+from opinio.plans import regression as RG
+from opinio.plans import textmodels as TM
 from opinio.plans import views as V
-from pyspark import StorageLevel
-
 from opinio.session import scratch_path
 from opinio.sources import readers
+from opinio.specs import ELASTIC_NET_PARAMS, OLS_RUNS, REG_PARAMS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -475,11 +481,6 @@ def q_random_split(spark, d):
 
 
 # ------------------------------------------------------ least squares ----
-from pyspark import StorageLevel  # noqa: E402
-from opinio.functions.columns import significant  # noqa: E402
-from opinio.plans import metrics as M  # noqa: E402
-from opinio.plans import regression as RG  # noqa: E402
-from opinio.specs import OLS_RUNS  # noqa: E402
 
 FEATURES = list(V.RATING_FEATURES)
 RUNS = [(V.RATINGS.subset(letters), fit, score) for letters, fit, score in OLS_RUNS]
@@ -584,10 +585,6 @@ def q_auc(spark, d):
 
 
 # --------------------------------------------------------- classifiers ----
-from opinio.operators.partition import persist_for_iterations  # noqa: E402
-from opinio.plans import classify as CL  # noqa: E402
-from opinio.plans import textmodels as TM  # noqa: E402
-from opinio.specs import ELASTIC_NET_PARAMS, REG_PARAMS  # noqa: E402
 
 SUB_RATINGS = FEATURES[1:]          # the seven ratings without "overall"
 # Display names of the synthetic rating columns.

@@ -5,7 +5,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from opinio.functions.columns import (
     label_int,

@@ -4,7 +4,6 @@ import csv
 import os
 import tempfile
 
-import pytest
 
 from opinio.plans.regression import ols_subset_report
 from opinio.plans.reviews import load_reviews, model_ready

@@ -2,7 +2,6 @@
 
 import os
 
-import pytest
 
 from conftest import SF_SMALL
 from opinio.plans import lexicon as lx
