@@ -4,7 +4,7 @@ Entity polarity = sign of the mean lexicon score over all word occurrences
 of the entity's reviews; every review of the entity is then compared with
 that one polarity.
 
-Plan choice: when the lexicon is proven small (bounded count) it is
+Plan choice: when the lexicon is proven small (its count is checked) it is
 broadcast and token rows stream through a map-side hash join straight into
 a partial aggregate per entity -- a single, tiny shuffle. Otherwise token
 rows are first reduced to ``(entity, word, n)`` counts (map-side combine),

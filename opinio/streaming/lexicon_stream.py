@@ -1,7 +1,7 @@
 """Incremental lexicon sentiment per entity over a stream of reviews.
 
 Stream-static inner join of token rows with the lexicon (broadcast when
-its bounded count is checked), then a running aggregate of score sum and
+its count is checked), then a running aggregate of score sum and
 word count per entity in the state store; polarity is derived from the
 running mean. The state holds one row per entity, not per review.
 """
