@@ -247,3 +247,8 @@ def test_vocab_cut_equals_full_sort(spark):
         cand = sorted(((-tc, w) for w, (ds, tc) in stats.items() if len(ds) >= 2))
         want = [(w, i) for i, (_, w) in enumerate(cand[:size])]
         assert sorted(got, key=lambda x: x[1]) == want
+
+
+def test_e3_auc_one_class_is_null(spark):
+    df = spark.createDataFrame([(0.1, 1), (0.2, 1)], "s double, y int")
+    assert M.area_under_roc(df, "s", "y").first().auc is None
