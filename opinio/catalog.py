@@ -347,7 +347,7 @@ def q_cast_ratings(spark, d):
 
 @query("cast_label", """
 SELECT event_id,
-       CAST(CAST(trunc(TRY_CAST(substr(props, 7, 2) AS DOUBLE)) AS INTEGER) AS DOUBLE)
+       CAST(TRY_CAST(trunc(TRY_CAST(substr(props, 7, 2) AS DOUBLE)) AS INTEGER) AS DOUBLE)
          AS label
 FROM events""")
 def q_cast_label(spark, d):

@@ -21,8 +21,9 @@ def lenient_double(c: str | Column) -> Column:
 
 
 def label_int(c: str | Column) -> Column:
-    """String label -> int through double, so ``"1.0"`` is 1, junk NULL."""
-    return _c(c).try_cast("double").cast("int")
+    """String label -> int through double, so ``"1.0"`` is 1; junk and
+    out-of-range values NULL (both steps lenient under ANSI)."""
+    return _c(c).try_cast("double").try_cast("int")
 
 
 def letter_tokens(text: str | Column) -> Column:

@@ -252,3 +252,8 @@ def test_vocab_cut_equals_full_sort(spark):
 def test_e3_auc_one_class_is_null(spark):
     df = spark.createDataFrame([(0.1, 1), (0.2, 1)], "s double, y int")
     assert M.area_under_roc(df, "s", "y").first().auc is None
+
+
+def test_d2_label_out_of_range_is_null(spark):
+    df = spark.createDataFrame([("1e12",), ("-0.0",)], "r string")
+    assert [r[0] for r in df.select(label_int("r")).collect()] == [None, 0]
