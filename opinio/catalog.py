@@ -234,7 +234,8 @@ def _counts(spark, d):
 
 
 def _idf(spark, d, counts=None):
-    n_docs = V.docs(spark, d).count()
+    # a plain scan count (answered from parquet footers, no redistribution)
+    n_docs = V.table(spark, d, "documents", spread_out=False).count()
     vocab = text.vocabulary(counts if counts is not None else _counts(spark, d))
     return text.idf_weights(vocab, n_docs)
 
