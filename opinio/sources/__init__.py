@@ -1,5 +1,6 @@
 from opinio.sources.readers import (
     corpus_count,
+    land,
     land_csv,
     load_stop_words,
     read_lexicon,
@@ -9,6 +10,6 @@ from opinio.sources.readers import (
 )
 
 __all__ = [
-    "corpus_count", "land_csv", "load_stop_words", "read_lexicon",
+    "corpus_count", "land", "land_csv", "load_stop_words", "read_lexicon",
     "read_review_csv", "read_word_list", "write_csv",
 ]

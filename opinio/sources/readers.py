@@ -87,3 +87,15 @@ def read_parquet(spark: SparkSession, path: str, spread_out: bool = True,
                  key: str | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return spread(df, key=key) if spread_out else df
+
+
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table once to the shared checkpoint folder and return
+    a scan of the written copy: later jobs (several model fits, reports)
+    read columnar parquet with pruning instead of recomputing joins, and an
+    executor loss costs a re-read, not a recomputation."""
+    from opinio.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

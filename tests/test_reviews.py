@@ -71,3 +71,13 @@ def test_airport_layout(spark):
            for r in df.collect()}
     assert got == {"/a/1": (3.0, None, 0), "/a/2": (9.0, 9.0, 1)}
     assert len(AIRPORT.rating_cols) == 9
+
+
+def test_land_writes_once_and_reads_back(spark):
+    from conftest import SF_SMALL
+    from opinio.plans import views as V
+    from opinio.sources import land
+    r = V.ratings_split(spark, SF_SMALL)
+    landed = land(r, "ratings")
+    assert sorted(landed.collect()) == sorted(r.collect())
+    assert "parquet" in landed.inputFiles()[0] or landed.inputFiles()
