@@ -25,8 +25,12 @@ def spread(df: DataFrame, min_partitions: int | None = None,
     large input with thousands of splits this is a no-op and adds no
     shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the scan as it is
+        return df
+    if current < target:
         return df.repartition(target, key) if key else df.repartition(target)
     return df
 
@@ -48,7 +52,11 @@ def persist_for_iterations(df: DataFrame, rows_per_partition: int = 50_000,
     cached = df.persist(level)
     n = cached.count()
     want = max(1, math.ceil(n / rows_per_partition))
-    if want < cached.rdd.getNumPartitions():
+    try:
+        current = cached.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access
+        return cached
+    if want < current:
         narrow = cached.coalesce(want).persist(level)
         narrow.count()
         cached.unpersist()
