@@ -7,6 +7,7 @@ of all rows costs one partial row per input partition, not one huge task.
 
 from __future__ import annotations
 
+import math
 from typing import Iterable
 
 from pyspark.ml.feature import Bucketizer
@@ -96,7 +97,7 @@ def top_bottom(df: DataFrame, weight: str, key: str, k: int) -> DataFrame:
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str],
                 by: list[str] | None = None, buckets: int | None = None,
-                suffix: str = "_before") -> DataFrame:
+                suffix: str = "_before", rows_per_range: int = 20_000) -> DataFrame:
     """For every row, the sums of ``sum_cols`` over all rows (of the same
     ``by`` group) with a strictly smaller ``order_col``.
 
@@ -107,14 +108,19 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str],
     within a group (pre-aggregate first).
     """
     by = list(by or [])
-    if buckets is None:
-        # ranges scale with the cluster's shuffle width, so each stays a
-        # bounded slice of the distinct values (>= 64 ranges)
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        buckets = max(64, 2 * parts)
-    probs = [i / buckets for i in range(1, buckets)]
-    qs = df.agg(F.percentile_approx(order_col, probs, 10_000).alias("q")).first()["q"]
-    edges = sorted({float(x) for x in (qs or []) if x is not None})
+    # one pass: the row count and quantiles at the finest useful resolution
+    # (twice the shuffle width, >= 64 ranges); then as many ranges as keep
+    # each near ``rows_per_range`` rows -- a small input is a single range
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    finest = buckets or max(64, 2 * parts)
+    probs = [i / finest for i in range(1, finest)]
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx(order_col, probs, 10_000).alias("q")).first()
+    want = buckets or max(1, min(finest, math.ceil(row["n"] / rows_per_range)))
+    qs = row["q"] or []
+    step = finest / want
+    picked = [qs[min(len(qs) - 1, round(j * step) - 1)] for j in range(1, want)] if qs else []
+    edges = sorted({float(x) for x in picked if x is not None})
     splits = [float("-inf")] + edges + [float("inf")]
     if edges:
         dd = df.withColumn("_ord_d", F.col(order_col).cast("double"))
