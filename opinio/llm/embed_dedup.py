@@ -166,10 +166,10 @@ def op1_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:
 #: All pairs, then propagation of the smallest id.
 ORACLE = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
       WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
 r AS (SELECT vec_id AS id, vec_id AS low FROM embeddings UNION SELECT l.a, r.low FROM r JOIN l ON l.b = r.id),

@@ -293,7 +293,7 @@ def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
 #: Brute force by shared shingles, then label propagation to the smallest id.
 ORACLE = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\r\x0b\x0c]+'), x -> x <> '') AS ws
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\r\x0b\x0c]+'), lambda x: x <> '') AS ws
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, least(i + 4, len(ws))), ' ') AS sh
