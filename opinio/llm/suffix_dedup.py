@@ -5,7 +5,7 @@ starts at another place of the corpus. Sorting a suffix per byte would shuffle
 hundreds of times the input, so a sparse suffix array is sorted, from which
 the dense answer follows exactly:
 
-* Anchors. Of the k-byte substrings (k = length / 2) inside every
+* Anchors. Of the k-byte substrings (k = length / 3) inside every
   ``length``-byte window, the one with the smallest hash (leftmost among
   equals) is the window's anchor. Equal windows have their anchor at the same
   offset, so a repeated window shows as a repeated anchor substring; anchors
@@ -62,11 +62,17 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def anchor_len(length: int) -> int:
+    """Bytes of an anchor substring: long enough to occur by repetition only,
+    short enough to need one anchor in some 70 bytes."""
+    return max(1, length // 3)
+
+
 class Anchors:
     """Anchor places and substring hashes of byte strings."""
 
     def __init__(self, length: int):
-        self.length, self.k = length, length // 2
+        self.length, self.k = length, anchor_len(length)
         self.up = self.down = np.empty(0, np.uint64)
 
     def of(self, data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,7 +196,7 @@ def merge(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[tuple[int, in
 
 def repeated_windows(shared: np.ndarray, lefts: list[bytes], length: int) -> np.ndarray:
     """(suffixes, length - k + 1) flags: is the window that starts d bytes before the suffix repeated?"""
-    n, deepest = len(lefts), length - length // 2
+    n, deepest = len(lefts), length - anchor_len(length)
     flags = np.zeros((n, deepest + 1), bool)
     mirrored = [x[::-1] for x in lefts]
     by_left = sorted(range(n), key=mirrored.__getitem__)
@@ -247,7 +253,7 @@ def _unpack(column) -> list[bytes]:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """(rid, lo, hi): byte spans of ``stored`` documents that are covered by repeated windows (spans may overlap)."""
     spark = docs.sparkSession
-    k = length // 2
+    k = anchor_len(length)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         anchors = Anchors(length)
