@@ -49,7 +49,8 @@ from opinio.llm.common import land, mix64, ship, table, width
 ship(__name__)
 
 LENGTH = 200
-HOT = 10_000
+RANGE_ROWS = 60_000  # suffixes a range is meant to hold
+HOT = RANGE_ROWS  # a substring that would fill a range alone goes the other way
 RUN_ROWS = 16_384
 SLICE = 1 << 20
 _R = np.uint64(0x9E3779B97F4A7C15)
@@ -278,7 +279,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
 
     # ranges of the first k bytes, from a bounded sample of documents
     total, many = chosen.count(), docs.count()
-    parts = max(width(spark), -(-total // 60_000))
+    parts = max(width(spark), -(-total // RANGE_ROWS))
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
