@@ -190,4 +190,6 @@ def op9_language_id(spark, sf_dir: str) -> DataFrame:
 def keep_identified(docs: DataFrame, known: DataFrame) -> DataFrame:
     """Documents whose language is identified, from their text and the prior of their source."""
     model = fit_text(known, "text", "lang")
-    return identify(docs, model, "text", host=F.col("source")).where("accepted").select(*docs.columns)
+    # the row travels as one struct, so no column's name can clash with those used here
+    rows = docs.select(F.struct("*").alias("row"), "text", "source")
+    return identify(rows, model, "text", host=F.col("source")).where("accepted").select("row.*")

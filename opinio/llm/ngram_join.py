@@ -279,10 +279,10 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links = jaccard_links(docs, id_col, text_col)
     stay = links.where("kept").groupBy("component_key").agg(F.min(F.struct(id_col, "t")).alias("s"))
     keys = stay.select(F.col(f"s.{id_col}").alias("_id"), F.col("s.t").alias("_t")).distinct()
-    once = docs.withColumn("_t", text_key(F.col(text_col))).withColumn("_id", F.col(id_col).cast("bigint"))
-    hit = once.join(keys.withColumnRenamed("_id", "_k").withColumnRenamed("_t", "_kt"),
-                    F.col("_id").eqNullSafe(F.col("_k")) & (F.col("_t") == F.col("_kt")), "left_semi")
-    return hit.dropDuplicates(["_id", "_t"]).drop("_id", "_t")
+    # the row travels as one struct, so no column's name can clash with those used here
+    once = docs.select(F.struct("*").alias("row"), text_key(F.col(text_col)).alias("t"), F.col(id_col).cast("bigint").alias("id"))
+    hit = once.join(keys, F.col("id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t")), "left_semi")
+    return hit.dropDuplicates(["id", "t"]).select("row.*")
 
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

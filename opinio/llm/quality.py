@@ -158,4 +158,6 @@ def op10_eb_quality(spark, sf_dir: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(labelled, labels)
-    return score(docs, model, F.col("source"), F.col("lang")).where("keep").select(*docs.columns)
+    # the row travels as one struct, so no column's name can clash with those used here
+    rows = docs.select(F.struct("*").alias("row"), "text", "source", "lang")
+    return score(rows, model, F.col("source"), F.col("lang")).where("keep").select("row.*")

@@ -36,22 +36,26 @@ empty result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
+from pyspark.sql.window import Window
 
-from opinio.llm.common import land, mix64, ship, table, width
+from opinio.llm.common import land, mix64, ship, table, width, worker_cache
 
 ship(__name__)
 
 LENGTH = 200
 RANGE_ROWS = 60_000  # suffixes a range is meant to hold
 HOT = RANGE_ROWS  # a substring that would fill a range alone goes the other way
-RUN_ROWS = 16_384
+BLOCK_BITS = 11
 SLICE = 1 << 20
 _R = np.uint64(0x9E3779B97F4A7C15)
 _R_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -219,22 +223,10 @@ def repeated_windows(shared: np.ndarray, lefts: list[bytes], length: int) -> np.
     return flags
 
 
-def stored(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(rid, id, z): every row once, numbered, its UTF-8 bytes compressed."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            yield pd.DataFrame({"rid": batch["rid"], "id": batch["id"].astype("Int64"),
-                                "z": [press.compress((t or "").encode("utf-8", "surrogatepass")) for t in batch["text"]]})
-
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("bigint").alias("id"),
-                      F.col(text_col).alias("text"))
-    return land(src.mapInPandas(run, "rid bigint, id bigint, z binary"), "suffix-docs")
-
-
-def stored_rows(docs: DataFrame, text_col: str) -> DataFrame:
-    """All columns but the text, with rid, z and _null (text was NULL)."""
+def stored(docs: DataFrame, text_col: str) -> DataFrame:
+    """All columns but the text, with rid (number of the row), block (2048 rows
+    that lie together), z (the text's UTF-8 bytes, compressed) and _null (text
+    was NULL), written once."""
 
     @F.pandas_udf("binary")
     def press(texts: pd.Series) -> pd.Series:
@@ -242,8 +234,9 @@ def stored_rows(docs: DataFrame, text_col: str) -> DataFrame:
         return pd.Series([c.compress((t or "").encode("utf-8", "surrogatepass")) for t in texts])
 
     rest = [c for c in docs.columns if c != text_col]
-    return land(docs.select(*rest, F.monotonically_increasing_id().alias("rid"), F.col(text_col).isNull().alias("_null"),
-                            press(text_col).alias("z")), "suffix-rows")
+    rows = docs.select(*rest, F.monotonically_increasing_id().alias("rid"), F.col(text_col).isNull().alias("_null"),
+                       press(text_col).alias("z"))
+    return land(rows.withColumn("block", F.shiftright("rid", BLOCK_BITS)), "suffix-rows")
 
 
 def _unpack(column) -> list[bytes]:
@@ -251,34 +244,42 @@ def _unpack(column) -> list[bytes]:
     return [d.decompress(z) for z in column]
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
-    """(rid, lo, hi): byte spans of ``stored`` documents that are covered by repeated windows (spans may overlap)."""
-    spark = docs.sparkSession
+def find_anchors(rids: np.ndarray, texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rid, place, hash) of the anchors of some texts."""
+    anchors = worker_cache().setdefault(("anchors", length), Anchors(length))
+    rid, at, keys = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for group in _slices(rids, texts, length):
+        starts = np.cumsum([0] + [len(p) for _, _, p in group])
+        places, h = anchors.of(b"".join([p for _, _, p in group]), starts[:-1])
+        which = np.searchsorted(starts, places, "right") - 1
+        rid.append(np.array([g[0] for g in group], np.int64)[which])
+        at.append(places - starts[which] + np.array([g[1] for g in group], np.int64)[which])
+        keys.append(h.view(np.int64))
+    return np.concatenate(rid), np.concatenate(at), np.concatenate(keys)
+
+
+def repeated_spans(rows: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+    """(rid, lo, hi): byte spans of ``stored`` rows that are covered by repeated windows (spans may overlap)."""
+    spark = rows.sparkSession
     k = anchor_len(length)
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        anchors = Anchors(length)
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rids, at, keys = [], [], []
-            for group in _slices(batch["rid"], _unpack(batch["z"]), length):
-                starts = np.cumsum([0] + [len(p) for _, _, p in group])
-                places, h = anchors.of(b"".join([p for _, _, p in group]), starts[:-1])
-                which = np.searchsorted(starts, places, "right") - 1
-                rids.append(np.array([g[0] for g in group], np.int64)[which])
-                at.append(places - starts[which] + np.array([g[1] for g in group], np.int64)[which])
-                keys.append(h.view(np.int64))
-            if rids:
-                yield pd.DataFrame({"key": np.concatenate(keys), "rid": np.concatenate(rids), "at": np.concatenate(at)})
-
-    anchors = land(docs.select("rid", "z").mapInPandas(find, "key bigint, rid bigint, at bigint"), "suffix-anchors")
-    again = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    chosen = land(anchors.join(again, "key").select("rid", "at", (F.col("n") > hot).alias("hot")),
-                  "suffix-chosen")
-    by_row = lambda which: (chosen.where(which).groupBy("rid").agg(F.collect_set("at").alias("at"))
-                            .join(docs.select("rid", "z"), "rid"))
+            rid, _, keys = find_anchors(batch["rid"].to_numpy(), _unpack(batch["z"]), length)
+            block = rid >> BLOCK_BITS
+            for x in np.unique(block):
+                key, n = np.unique(keys[block == x], return_counts=True)
+                yield pd.DataFrame({"key": key, "block": x, "n": n})
+
+    # at most one row per block and substring crosses the network, so a substring
+    # of a third of all rows is a row per block; those that occur once end here
+    counted = rows.select("rid", "z").mapInPandas(count, "key bigint, block bigint, n bigint")
+    over = Window.partitionBy("key")
+    chosen = land(counted.withColumn("all", F.sum("n").over(over)).where("all > 1")
+                  .select("block", "key", (F.col("all") > hot).alias("hot"), "n"), "suffix-chosen")
 
     # ranges of the first k bytes, from a bounded sample of documents
-    total, many = chosen.count(), docs.count()
+    total, many = int(chosen.agg(F.sum("n")).first()[0] or 0), rows.count()
     parts = max(width(spark), -(-total // RANGE_ROWS))
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -289,50 +290,40 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
                     got.append(raw[x:x + k])
             yield pd.DataFrame({"s": got})
 
-    sample = sorted(r.s for r in docs.sample(min(1.0, 1500 / max(1, many)), seed=5).mapInPandas(draw, "s binary").collect())
+    sample = sorted(r.s for r in rows.select("rid", "z").sample(min(1.0, 1500 / max(1, many)), seed=5)
+                    .mapInPandas(draw, "s binary").collect())
     cuts = [bytes(sample[len(sample) * i // parts]) for i in range(1, parts)] if sample else []
 
-    def sort_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def at_chosen(docs_of: pd.DataFrame, keys_of: pd.DataFrame):
+        """(rid, place, text) at the chosen anchors of a block, each once."""
+        if len(docs_of) == 0 or len(keys_of) == 0:
+            return
+        texts = _unpack(docs_of["z"])
+        rids = docs_of["rid"].to_numpy()
+        rid, at, keys = find_anchors(rids, texts, length)
+        mine = np.isin(keys, keys_of["key"].to_numpy())
+        text_of = dict(zip(rids.tolist(), texts))
+        for r, x in sorted(set(zip(rid[mine].tolist(), at[mine].tolist()))):
+            yield r, x, text_of[r]
+
+    def sort_runs(docs_of: pd.DataFrame, keys_of: pd.DataFrame) -> pd.DataFrame:
         press = zstandard.ZstdCompressor(level=1)
-        held: list[tuple[bytes, bytes, int, int]] = []
-
-        def runs() -> pd.DataFrame:
-            held.sort()
-            rows, lo = [], 0
-            for part in range(len(cuts) + 1):
-                hi = lo
-                if part < len(cuts):
-                    end = cuts[part]
-                    a, b = lo, len(held)
-                    while a < b:  # first row not below the cut
-                        m = (a + b) // 2
-                        if held[m][0][:k] < end:
-                            a = m + 1
-                        else:
-                            b = m
-                    hi = a
-                else:
-                    hi = len(held)
-                if hi > lo:
-                    some = held[lo:hi]
-                    shared, rest = front_code([s[0] for s in some])
-                    rows.append((part, shared.tobytes(), np.array([len(x) for x in rest], np.uint16).tobytes(),
-                                 np.array([len(s[1]) for s in some], np.uint16).tobytes(),
-                                 press.compress(b"".join(rest) + b"".join([s[1] for s in some])),
-                                 np.array([s[2] for s in some], np.int64).tobytes(),
-                                 np.array([s[3] for s in some], np.int64).tobytes()))
+        held = [(raw[x:x + length], raw[max(0, x - (length - k)):x], r, x) for r, x, raw in at_chosen(docs_of, keys_of)]
+        held.sort()
+        firsts = [s[0][:k] for s in held]
+        ends = [bisect_left(firsts, c) for c in cuts] + [len(held)]
+        out, lo = [], 0
+        for part, hi in enumerate(ends):
+            if hi > lo:
+                some = held[lo:hi]
+                shared, rest = front_code([s[0] for s in some])
+                out.append((part, shared.tobytes(), np.array([len(x) for x in rest], np.uint16).tobytes(),
+                            np.array([len(s[1]) for s in some], np.uint16).tobytes(),
+                            press.compress(b"".join(rest) + b"".join([s[1] for s in some])),
+                            np.array([s[2] for s in some], np.int64).tobytes(),
+                            np.array([s[3] for s in some], np.int64).tobytes()))
                 lo = hi
-            held.clear()
-            return pd.DataFrame(rows, columns=["part", "shared", "rest", "left", "z", "rid", "at"])
-
-        for batch in batches:
-            for rid, places, raw in zip(batch["rid"], batch["at"], _unpack(batch["z"])):
-                for x in places:
-                    held.append((raw[x:x + length], raw[max(0, x - (length - k)):x], rid, x))
-                if len(held) >= RUN_ROWS:
-                    yield runs()
-        if held:
-            yield runs()
+        return pd.DataFrame(out, columns=["part", "shared", "rest", "left", "z", "rid", "at"])
 
     def merge_range(group: pd.DataFrame) -> pd.DataFrame:
         unpack = zstandard.ZstdDecompressor()
@@ -363,21 +354,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
         _, end = np.nonzero(edge == -1)  # one past the last d of the run of windows
         return pd.DataFrame({"rid": rid[row], "lo": at[row] - (end - 1), "hi": at[row] - first + length})
 
-    runs = by_row("not hot").mapInPandas(
+    blocks = rows.groupBy("block")
+    runs = blocks.cogroup(chosen.where("not hot").select("block", "key").groupBy("block")).applyInPandas(
         sort_runs, "part int, shared binary, rest binary, left binary, z binary, rid binary, at binary")
     spans = runs.groupBy("part").applyInPandas(merge_range, "rid bigint, lo bigint, hi bigint")
 
     if not chosen.where("hot").isEmpty():
-        def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for rid, places, raw in zip(batch["rid"], batch["at"], _unpack(batch["z"])):
-                    los = sorted({lo for x in places for lo in range(max(0, x - (length - k)), x + 1)
-                                  if lo + length <= len(raw)})
-                    yield pd.DataFrame({"w": [hashlib.blake2b(raw[lo:lo + length], digest_size=16).digest() for lo in los],
-                                        "rid": rid, "lo": los})
-
-        each = land(by_row("hot").mapInPandas(windows, "w binary, rid bigint, lo bigint"), "suffix-windows")
-        # a window next to a hot anchor may also sit at a cold one elsewhere only with the same anchor, so hot meets hot
+        def windows(docs_of: pd.DataFrame, keys_of: pd.DataFrame) -> pd.DataFrame:
+            los = sorted({(r, lo) for r, x, raw in at_chosen(docs_of, keys_of)
+                          for lo in range(max(0, x - (length - k)), x + 1) if lo + length <= len(raw)})
+            texts = dict(zip(docs_of["rid"].tolist(), _unpack(docs_of["z"]))) if los else {}
+            return pd.DataFrame({"w": [hashlib.blake2b(texts[r][lo:lo + length], digest_size=16).digest() for r, lo in los],
+                                 "rid": [r for r, _ in los], "lo": [lo for _, lo in los]})
+
+        # equal windows have equal anchors, so a window at a hot anchor only meets others at that anchor
+        each = land(blocks.cogroup(chosen.where("hot").select("block", "key").groupBy("block")).applyInPandas(
+            windows, "w binary, rid bigint, lo bigint"), "suffix-windows")
         many_times = each.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w")
         spans = spans.union(each.join(many_times, "w").select("rid", "lo", (F.col("lo") + length).alias("hi")))
     return spans
@@ -404,49 +396,52 @@ def _removed(raw: bytes, los, his) -> tuple[bytes, int, int]:
     return b"".join(kept), gone, runs
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   hot: int = HOT) -> DataFrame:
-    """One row per document: n_bytes, n_removed, n_spans, kept_sha256, and the
-    ``kept`` text (bytes of characters cut in the middle dropped)."""
-    store = stored(docs, id_col, text_col)
-    spans = repeated_spans(store, length, hot).groupBy("rid").agg(
-        F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
+def _finish(rows: DataFrame, spans: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` columns, n_bytes, n_removed, n_spans, kept_sha256 and kept (the
+    text left; bytes of characters cut in the middle dropped) of every row."""
+
+    def finish(docs_of: pa.Table, spans_of: pa.Table) -> pa.Table:
+        rid = spans_of["rid"].to_numpy()
+        order = np.argsort(rid, kind="stable")
+        rid, lo, hi = rid[order], spans_of["lo"].to_numpy()[order], spans_of["hi"].to_numpy()[order]
+        out = []
+        for r, raw in zip(docs_of["rid"].to_pylist(), _unpack(docs_of["z"].to_pylist())):
+            a, b = np.searchsorted(rid, r), np.searchsorted(rid, r, "right")
+            kept, gone, runs = _removed(raw, lo[a:b], hi[a:b])
+            out.append((len(raw), gone, runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
+        got = docs_of.select(keep)
+        for k, (name, kind) in enumerate((("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+                                          ("kept_sha256", pa.string()), ("kept", pa.string()))):
+            got = got.append_column(name, pa.array([x[k] for x in out], kind))
+        return got
+
+    fields = [f for c in keep for f in rows.schema.fields if f.name == c]
+    schema = StructType(fields)
+    for name in ("n_bytes", "n_removed", "n_spans"):
+        schema = schema.add(name, LongType())
+    schema = schema.add("kept_sha256", StringType()).add("kept", StringType())
+    by_block = spans.select(F.shiftright("rid", BLOCK_BITS).alias("block"), "rid", "lo", "hi").groupBy("block")
+    return rows.groupBy("block").cogroup(by_block).applyInArrow(finish, schema)
 
-    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for i, raw, lo, hi in zip(batch["id"], _unpack(batch["z"]), batch["lo"], batch["hi"]):
-                kept, gone, runs = _removed(raw, lo, hi)
-                out.append((i, len(raw), gone, runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
-            frame = pd.DataFrame(out, columns=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-            frame["id"] = frame["id"].astype("Int64")
-            yield frame
 
-    out = store.join(spans, "rid", "left").select("id", "z", "lo", "hi").mapInPandas(
-        finish, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string")
-    return out.withColumnRenamed("id", id_col)
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+                   hot: int = HOT) -> DataFrame:
+    """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, kept."""
+    rows = stored(docs.select(F.col(id_col).cast("bigint").alias(id_col), F.col(text_col).alias("text")), "text")
+    return _finish(rows, repeated_spans(rows, length, hot), [id_col])
 
 
 def cut_texts(docs: DataFrame, text_col: str = "text", length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """``docs`` (``n_chars`` renewed, where there is one) without the repeated
     passages; rows of which nothing is left go, rows that were empty stay."""
-    store = stored_rows(docs, text_col)
-    spans = repeated_spans(store.select("rid", "z"), length, hot).groupBy("rid").agg(
-        F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
-
-    @F.pandas_udf("string")
-    def cut(z: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
-        return pd.Series([_removed(raw, a, b)[0].decode("utf-8", "ignore") for raw, a, b in zip(_unpack(z), lo, hi)])
-
-    # untouched texts (no spans) come back as they were, NULL included
-    out = store.join(spans, "rid", "left").withColumn("_cut", cut("z", "lo", "hi"))
-    out = out.where("lo is null or _cut != ''")
-    text = F.when(F.col("_null"), F.lit(None)).otherwise(F.col("_cut"))
-    out = out.withColumn(text_col, text)
+    # the row travels as one struct, so no column's name can clash with those used here
+    rows = stored(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text")), "text")
+    out = _finish(rows, repeated_spans(rows, length, hot), ["row", "_null"]).where("n_removed = 0 or kept != ''")
+    value = {text_col: F.when(~F.col("_null"), F.col("kept"))}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("lo").isNull(), F.col("n_chars"))
-                             .otherwise(F.length(text_col)).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        value["n_chars"] = F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length("kept")) \
+            .cast(docs.schema["n_chars"].dataType)
+    return out.select(*[value.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def op6_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
