@@ -5,7 +5,7 @@ starts at another place of the corpus. Sorting a suffix per byte would shuffle
 hundreds of times the input, so a sparse suffix array is sorted, from which
 the dense answer follows exactly:
 
-* Anchors. Of the k-byte substrings (k = length / 3) inside every
+* Anchors. Of the k-byte substrings (k = length / 2) inside every
   ``length``-byte window, the one with the smallest hash (leftmost among
   equals) is the window's anchor. Equal windows have their anchor at the same
   offset, so a repeated window shows as a repeated anchor substring; anchors
@@ -68,9 +68,9 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 def anchor_len(length: int) -> int:
-    """Bytes of an anchor substring: long enough to occur by repetition only,
-    short enough to need one anchor in some 70 bytes."""
-    return max(1, length // 3)
+    """Bytes of an anchor substring: long enough that a common line is none,
+    short enough to need one anchor in some 50 bytes."""
+    return max(1, length // 2)
 
 
 class Anchors:
