@@ -47,6 +47,10 @@ HEADLINE = [
     "text_elastic_net",
     "grid_search",
     "entity_report",
+    "score_all",
+    "word_weights",
+    "word_weight_extremes",
+    "weight_sparsity",
 ]
 
 

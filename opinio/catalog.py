@@ -223,7 +223,7 @@ vocab AS (
   FROM counts GROUP BY word HAVING count(*) >= 5),
 idf AS (
   SELECT word, doc_freq,
-         ln(((SELECT count(*) FROM documents) + 1.0) / (doc_freq + 1.0)) AS idf
+         ln(((SELECT count(text) FROM documents) + 1.0) / (doc_freq + 1.0)) AS idf
   FROM vocab)"""
 
 
@@ -234,9 +234,9 @@ def _counts(spark, d):
 
 
 def _idf(spark, d, counts=None):
-    # a plain scan count (answered from parquet footers, no redistribution)
-    n_docs = V.table(spark, d, "documents", spread_out=False).count()
-    vocab = text.vocabulary(counts if counts is not None else _counts(spark, d))
+    # documents without text are no documents to the fitted pipeline either
+    n_docs = V.table(spark, d, "documents", spread_out=False).where(F.col("text").isNotNull()).count()
+    vocab = text.vocabulary(counts if counts is not None else _counts(spark, d), indexed=False)
     return text.idf_weights(vocab, n_docs)
 
 
@@ -249,6 +249,16 @@ def q_pruned_vocabulary(spark, d):
                     F.col("term_index").cast("int").alias("term_index"))
 
 
+@query("capped_vocabulary", f"""
+WITH {_COUNTS_SQL}
+SELECT word, doc_freq, term_count, term_index FROM vocab WHERE term_index < 100""")
+def q_capped_vocabulary(spark, d):
+    """The vocabulary cut (a feature of the count vectoriser) at 100 words."""
+    v = text.vocabulary(_counts(spark, d), vocab_size=100)
+    return v.select("word", "doc_freq", "term_count",
+                    F.col("term_index").cast("int").alias("term_index"))
+
+
 @query("idf_weights", f"""
 WITH {_COUNTS_SQL}
 SELECT word, doc_freq, round(idf, 6) AS idf FROM idf""")
@@ -260,9 +270,9 @@ def q_idf_weights(spark, d):
 WITH {_COUNTS_SQL}
 SELECT doc_id, word, round(n * idf, 6) AS tfidf FROM counts JOIN idf USING (word)""")
 def q_tfidf(spark, d):
-    # the (doc, word, n) table feeds both the vocabulary and the product;
-    # recomputing it measured cheaper than caching it (7.6 s vs 5.1 s at sf0.1)
-    out = text.tfidf(_counts(spark, d), _idf(spark, d), "doc_id")
+    # one (doc, word, n) stage feeds both the vocabulary and the product
+    counts = _counts(spark, d)
+    out = text.tfidf(counts, _idf(spark, d, counts), "doc_id")
     return out.select("doc_id", "word", r6("tfidf").alias("tfidf"))
 
 
@@ -338,24 +348,34 @@ def q_weights_csv_sink(spark, d):
 
 # -------------------------------------------- casts, filters, missing ----
 
-@query("cast_ratings", """
-SELECT event_id, TRY_CAST(substr(props, 7, 2) AS DOUBLE) AS rating FROM events""")
+def _cell():
+    """The whole value of ``k``; every eleventh cell is made malformed."""
+    value = F.regexp_extract("props", r'"k":\s*([^,}]*)', 1)
+    return F.when(F.col("event_id") % 11 == 5, F.concat(value, F.lit("}"))).otherwise(value)
+
+
+_CELL = """CASE WHEN event_id % 11 = 5 THEN regexp_extract(props, '"k":\\s*([^,}]*)', 1) || '}'
+       ELSE regexp_extract(props, '"k":\\s*([^,}]*)', 1) END"""
+
+
+@query("cast_ratings", f"""
+SELECT event_id, TRY_CAST({_CELL} AS DOUBLE) AS rating FROM events""")
 def q_cast_ratings(spark, d):
     ev = V.table(spark, d, "events")
     return ev.select("event_id",
-                     lenient_double(F.substring("props", 7, 2)).alias("rating"))
+                     lenient_double(_cell()).alias("rating"))
 
 
-@query("cast_label", """
+@query("cast_label", f"""
 SELECT event_id,
-       CAST(TRY_CAST(trunc(TRY_CAST(substr(props, 7, 2) AS DOUBLE)) AS INTEGER) AS DOUBLE)
+       CAST(TRY_CAST(trunc(TRY_CAST({_CELL} AS DOUBLE)) AS INTEGER) AS DOUBLE)
          AS label
 FROM events""")
 def q_cast_label(spark, d):
     # the double form of the label cast (int via double, then double), so a
     # NULL label stays a plain NULL double in every client
     ev = V.table(spark, d, "events")
-    return ev.select("event_id", label_int(F.substring("props", 7, 2))
+    return ev.select("event_id", label_int(_cell())
                      .cast("double").alias("label"))
 
 
@@ -550,9 +570,10 @@ SELECT run, features, mse FROM rep WHERE score_on = 'validation'
 ORDER BY mse, run LIMIT 1""")
 def q_best_by_metric(spark, d):
     rep = RG.subset_mse_report(spark, _filled_ratings(spark, d), "label", RUNS)
-    rep = rep.where(F.col("score_on") == "validation").withColumn("mse", r6("mse"))
+    rep = rep.where(F.col("score_on") == "validation")
+    # chosen on exact values, rounded after
     return agg.best_by(rep, "mse", ["run"], descending=False).select(
-        "run", "features", "mse")
+        "run", "features", r6("mse").alias("mse"))
 
 
 @query("scored_preview", O.ols_preview_sql(RUNS[10][0], "train", "test", 20))

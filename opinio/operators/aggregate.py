@@ -73,12 +73,6 @@ def best_by(df: DataFrame, metric: str, tie_cols: list[str],
     return df.orderBy(order, *[F.asc(c) for c in tie_cols]).limit(1)
 
 
-def sort_by(df: DataFrame, col: str, key: str,
-            descending: bool = False) -> DataFrame:
-    order = F.desc(col) if descending else F.asc(col)
-    return df.orderBy(order, F.asc(key))
-
-
 def top_bottom(df: DataFrame, weight: str, key: str, k: int) -> DataFrame:
     """The k lowest and k highest weights, tagged ``end`` = bottom / top and
     ``rank`` 1..k. Each side is a TakeOrdered (per-partition top-k merged),

@@ -37,9 +37,9 @@ def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
     the shared checkpoint folder) so the size check and the join read the
     written rows instead of computing it twice."""
     if materialize:
-        from opinio.session import checkpoint_root
-        checkpoint_root(small.sparkSession)
-        small = small.checkpoint(eager=True)
+        from opinio.sources.readers import land
+
+        small = land(small, "small-side")
     return big.join(maybe_broadcast(small, max_broadcast_rows), on, how)
 
 

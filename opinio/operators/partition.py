@@ -1,17 +1,13 @@
-"""Partition sizing: enough tasks to use every core after a scan, and few
-enough partitions for iterative model fitting.
-
-Both decisions read sizes from the data (partition count of a scan, row
-count of a persisted frame) rather than fixing numbers for one scale.
-"""
+"""Partitioning: enough tasks to use every core after a scan, and a fixed,
+reproducible layout for iterative model fitting."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+PLAIN_TYPES = {"string", "long", "integer", "double", "float", "boolean", "date", "timestamp"}
+
 
 def spread(df: DataFrame, min_partitions: int | None = None,
            key: str | None = None) -> DataFrame:
@@ -25,40 +21,30 @@ def spread(df: DataFrame, min_partitions: int | None = None,
     large input with thousands of splits this is a no-op and adds no
     shuffle.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the scan as it is
-        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    current = df.rdd.getNumPartitions()
     if current < target:
         return df.repartition(target, key) if key else df.repartition(target)
     return df
 
 
-def persist_for_iterations(df: DataFrame, rows_per_partition: int = 50_000,
+def fit_partitions(spark) -> int:
+    """Partitions of a model's training input: ``spark.opinio.fit.partitions``
+    (default 4). A setting rather than a function of rows or cores, because
+    bagging follows partitions: the same setting gives the same model on any
+    cluster. Set it to a few hundred megabytes a partition."""
+    return int(spark.conf.get("spark.opinio.fit.partitions", "4"))
+
+
+def persist_for_iterations(df: DataFrame, keys: list[str] | None = None,
                            level: StorageLevel = StorageLevel.MEMORY_AND_DISK
                            ) -> DataFrame:
-    """Persist a model's training input with a partition count matched to
-    its size.
-
-    Iterative fitters (L-BFGS / OWL-QN, tree levels) pay a fixed cost per
-    task per iteration; a few thousand rows spread over many partitions
-    spend their time in scheduling and in per-task coefficient buffers. The
-    frame is persisted, counted, and -- if it is smaller than
-    ``rows_per_partition`` per partition -- narrowed with ``coalesce`` (no
-    shuffle). At scale the count gives thousands of partitions and nothing
-    is narrowed.
-    """
-    cached = df.persist(level)
-    n = cached.count()
-    want = max(1, math.ceil(n / rows_per_partition))
-    try:
-        current = cached.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access
-        return cached
-    if want < current:
-        narrow = cached.coalesce(want).persist(level)
-        narrow.count()
-        cached.unpersist()
-        return narrow
+    """Persist a model's training input, dealt by ``keys`` (default: all
+    plain columns) to ``fit_partitions`` and ordered inside, so that a seeded
+    fit depends on the rows alone. The caller unpersists."""
+    keys = keys or [f.name for f in df.schema.fields
+                    if f.dataType.typeName() in PLAIN_TYPES]
+    n = fit_partitions(df.sparkSession)
+    cached = df.repartition(n, *keys).sortWithinPartitions(*keys).persist(level)
+    cached.count()
     return cached

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from opinio.functions.columns import hash_bucket
 
 SPLITS = ("train", "validation", "test")
+SPLIT_PARTITIONS = 64
 
 
 def split_label(key_col: str, weights=(60, 30, 10), names=SPLITS,
@@ -26,7 +27,9 @@ def split_label(key_col: str, weights=(60, 30, 10), names=SPLITS,
         upper += w
         expr = (F.when(b < upper, F.lit(name)) if expr is None
                 else expr.when(b < upper, F.lit(name)))
-    return expr.otherwise(F.lit(names[-1]))
+    expr = expr.otherwise(F.lit(names[-1]))
+    # a NULL key has no bucket: silently sending it to one split would be wrong
+    return F.when(b.isNull(), F.raise_error(F.lit(f"split key {key_col} is NULL"))).otherwise(expr)
 
 
 def hash_split(df: DataFrame, key_col: str, weights=(60, 30, 10),
@@ -35,20 +38,15 @@ def hash_split(df: DataFrame, key_col: str, weights=(60, 30, 10),
     return df.withColumn(col, split_label(key_col, weights, names))
 
 
-def split_frames(df: DataFrame, key_col: str, weights=(60, 30, 10),
-                 names=SPLITS) -> list[DataFrame]:
-    tagged = hash_split(df, key_col, weights, names, "_split")
-    return [tagged.where(F.col("_split") == n).drop("_split") for n in names]
-
-
 def random_split(df: DataFrame, weights=(0.6, 0.3, 0.1), seed: int = 0,
                  names=SPLITS, col: str = "split") -> DataFrame:
     """``randomSplit`` with the parts tagged and unioned back (R1 parity).
-    Depends on the input partitioning; prefer ``hash_split``."""
+    The rows are first dealt by all their columns to ``SPLIT_PARTITIONS``, so
+    the parts do not depend on cores or on the input's partitioning."""
     # randomSplit evaluates its input once per part; persisted input keeps
     # the parts disjoint and complete even if a recomputation would order
     # rows differently
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = df.repartition(SPLIT_PARTITIONS, *df.columns).persist(StorageLevel.MEMORY_AND_DISK)
     parts = df.randomSplit(list(weights), seed=seed)
     tagged = [p.withColumn(col, F.lit(n)) for p, n in zip(parts, names)]
     out = tagged[0]

@@ -86,23 +86,20 @@ def term_counts(words: DataFrame, doc: str, word: str = "word",
 
 
 def vocabulary(counts: DataFrame, word: str = "word", n: str = "n",
-               min_df: float = MIN_DF, vocab_size: int = VOCAB_SIZE,
-               n_docs: int | None = None) -> DataFrame:
-    """Words kept by ``CountVectorizer(minDF, vocabSize)``: document
-    frequency >= minDF (a fraction of ``n_docs`` when < 1), then the
-    ``vocab_size`` most frequent by total count; ties by word. Returns
-    ``(word, doc_freq, term_count, term_index)``.
+               min_df: float = MIN_DF, vocab_size: int | None = None,
+               n_docs: int | None = None, indexed: bool = True) -> DataFrame:
+    """Words with document frequency >= minDF (a fraction of ``n_docs`` when
+    < 1): ``(word, doc_freq, term_count)`` and, when ``indexed``,
+    ``term_index`` (rank by total count, ties by word). With ``vocab_size``
+    only that many most frequent words stay, as in ``CountVectorizer``.
 
     ``counts`` is the ``(doc, word, n)`` table, so one row per document
     per word: a word in a third of all documents is a partial-aggregated
     group, not a skewed task.
 
-    The size cut avoids a global top-``vocab_size`` sort (which would send
-    up to ``vocab_size`` rows from every partition to one task): when more
-    words qualify than fit, the count threshold is found from the
-    histogram of word frequencies with distributed prefix sums; words above
-    it are kept as they are, and only the words tied AT the threshold are
-    ordered by word to fill the remaining places.
+    No global sort: a word's rank is the number of words with a larger
+    count (prefix sums over the histogram of counts) plus its place among
+    the words of the same count.
     """
     from opinio.operators.aggregate import prefix_sums
 
@@ -110,27 +107,17 @@ def vocabulary(counts: DataFrame, word: str = "word", n: str = "n",
         F.count(F.lit(1)).alias("doc_freq"),
         F.sum(n).cast("bigint").alias("term_count"))
     threshold = min_df if min_df >= 1.0 else min_df * float(n_docs or 0)
-    kept = stats.where(F.col("doc_freq") >= F.lit(threshold)).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    if kept.count() <= vocab_size:
-        chosen = kept
-    else:
-        hist = kept.groupBy("term_count").agg(F.count(F.lit(1)).alias("n_words"))
-        hist = hist.withColumn("_neg", -F.col("term_count").cast("double"))
-        # n_words_before = number of words with a strictly larger count
-        ranked = prefix_sums(hist, "_neg", ["n_words"])
-        cut = (ranked.where(F.col("n_words_before") < vocab_size)
-               .orderBy("term_count").limit(1).first())
-        c, before, n_at = cut["term_count"], cut["n_words_before"], cut["n_words"]
-        if before + n_at <= vocab_size:
-            chosen = kept.where(F.col("term_count") >= c)
-        else:
-            ties = (kept.where(F.col("term_count") == c)
-                    .orderBy(F.asc(word)).limit(int(vocab_size - before)))
-            chosen = kept.where(F.col("term_count") > c).unionByName(ties)
-    # index = rank in the vocabulary; the frame is bounded by vocab_size
-    w = Window.orderBy(F.desc("term_count"), F.asc(word))
-    return chosen.withColumn("term_index", F.row_number().over(w) - 1)
+    kept = stats.where(F.col("doc_freq") >= F.lit(threshold))
+    if not indexed and vocab_size is None:
+        return kept
+    hist = (kept.groupBy("term_count").agg(F.count(F.lit(1)).alias("n_words"))
+            .withColumn("_neg", -F.col("term_count").cast("double")))
+    before = prefix_sums(hist, "_neg", ["n_words"]).select("term_count", "n_words_before")
+    place = F.row_number().over(Window.partitionBy("term_count").orderBy(F.asc(word)))
+    ranked = (kept.join(before, "term_count")
+              .select(word, "doc_freq", "term_count",
+                      (F.col("n_words_before") + place - 1).alias("term_index")))
+    return ranked if vocab_size is None else ranked.where(F.col("term_index") < vocab_size)
 
 
 def idf_weights(vocab: DataFrame, n_docs, word: str = "word") -> DataFrame:
@@ -143,18 +130,12 @@ def idf_weights(vocab: DataFrame, n_docs, word: str = "word") -> DataFrame:
 
 def tfidf(counts: DataFrame, idf: DataFrame, doc: str, word: str = "word",
           n: str = "n") -> DataFrame:
-    """``(doc, word, tfidf)`` for vocabulary words. The IDF table is bounded
-    by the vocabulary size, so it is broadcast."""
-    return (counts.join(F.broadcast(idf.select(word, "idf")), word)
+    """``(doc, word, tfidf)`` for vocabulary words; the planner picks the join
+    from the size of ``idf``."""
+    return (counts.join(idf.select(word, "idf"), word)
             .select(doc, word, (F.col(n) * F.col("idf")).alias("tfidf")))
 
 
-def document_count(df: DataFrame):
-    """Number of documents as a scalar column (a one-row aggregate joined
-    in, never a driver round trip)."""
-    return df.agg(F.count(F.lit(1)).alias("n_docs"))
-
-
 # ------------------------------------------------------------- ML form ----
 
 def ml_tokenizer(text: str, out: str = "words", mode: str = "letters"):

@@ -43,7 +43,8 @@ def entity_sentiment(df: DataFrame, entity: str, text: str,
                      max_broadcast_rows: int = MAX_BROADCAST_LEXICON_ROWS
                      ) -> DataFrame:
     """``(entity, avg_sentiment, predicted)``. Entities none of whose words
-    are in the lexicon are absent."""
+    are in the lexicon are absent; words without a score (NULL) count in
+    neither the sum nor the divisor, whichever plan is chosen."""
     words = entity_words(df, entity, text)
     lex = lexicon.select("word", F.col("sentiment").cast("double").alias("s"))
     if has_at_most(lex, max_broadcast_rows):
@@ -53,7 +54,8 @@ def entity_sentiment(df: DataFrame, entity: str, text: str,
         counts = words.groupBy(entity, "word").agg(F.count(F.lit(1)).alias("n"))
         scored = (counts.join(lex, "word")
                   .groupBy(entity)
-                  .agg((F.sum(F.col("s") * F.col("n")) / F.sum("n"))
+                  .agg((F.sum(F.col("s") * F.col("n"))
+                        / F.sum(F.when(F.col("s").isNotNull(), F.col("n"))))
                        .alias("avg_sentiment")))
     return scored.withColumn("predicted", polarity("avg_sentiment"))
 
@@ -88,8 +90,10 @@ def lexicon_coverage(df: DataFrame, entity: str, text: str, lexicon: DataFrame,
     entity with coverage 0 has no polarity at all."""
     words = entity_words(df, entity, text)
     lex = lexicon.select("word", F.lit(1).alias("_hit"))
-    joined = join_checked(words, lex, "word", "left", max_broadcast_rows)
+    # counted before the join, so a common word is one row per entity
+    counts = words.groupBy(entity, "word").agg(F.count(F.lit(1)).alias("n"))
+    joined = join_checked(counts, lex, "word", "left", max_broadcast_rows)
+    scored = F.sum(F.when(F.col("_hit").isNotNull(), F.col("n")).otherwise(0))
     return joined.groupBy(entity).agg(
-        F.count(F.lit(1)).alias("n_words"),
-        F.count("_hit").alias("n_scored"),
-        F.avg(F.coalesce(F.col("_hit"), F.lit(0)).cast("double")).alias("coverage"))
+        F.sum("n").alias("n_words"), scored.alias("n_scored"),
+        (scored.cast("double") / F.sum("n")).alias("coverage"))

@@ -51,4 +51,4 @@ def area_under_roc(df: DataFrame, score: str, label: str,
     ps = prefix_sums(counts, "_score", ["neg"], by=by, buckets=buckets)
     area = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") * 0.5))
     return ps.groupBy(*by).agg(
-        F.try_divide(area, F.sum("pos") * F.sum("neg")).alias(alias))
+        F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias(alias))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from opinio.functions.columns import letter_tokens
 from opinio.operators.split import hash_split
-from opinio.session import checkpoint_root
+from opinio.sources.readers import land
 from opinio.sources.readers import read_parquet
 from opinio.specs import ReviewSpec
 
@@ -109,7 +109,7 @@ def lexicon(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataF
     corpus, scored +1 / -1 from their md5.
 
     A lexicon is an input table; this stand-in is derived from the corpus,
-    so it is materialised once (reliable checkpoint in the shared folder):
+    so it is materialised once (a table in the shared folder):
     its size check and its join then read the written copy instead of
     re-tokenising the corpus."""
     words = docs(spark, sf_dir).select(
@@ -120,6 +120,5 @@ def lexicon(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataF
                     F.when(F.ascii(F.substring(h, 1, 1)) < 56, F.lit(1))
                     .otherwise(F.lit(-1)).alias("sentiment")))
     if materialize:
-        checkpoint_root(spark)
-        lex = lex.checkpoint(eager=True)
+        lex = land(lex, "lexicon")
     return lex

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,7 +21,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("OPINIO_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
@@ -31,29 +30,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names for checkpoints.
-
-    Read from the session (``spark.checkpoint.dir`` or an already set
-    checkpoint dir). Only when neither is set AND the master is local
-    (tests) a folder under the system temp dir is created and registered;
-    on a cluster an unset folder is an error.
-    """
+    """The shared folder for checkpoints: the session's checkpoint folder or
+    ``spark.checkpoint.dir``; where neither is set, a folder of the warehouse
+    (shared as well)."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
-        sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
-        # executors on other machines cannot share a driver-local folder
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder "
-                           "(e.g. on the cluster file system)")
-    local = tempfile.mkdtemp(prefix="opinio-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    return (sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -28,7 +28,7 @@ def entity_sentiment_stream(reviews: DataFrame, entity: str, text: str,
     words = entity_words(reviews, entity, text)
     joined = words.join(maybe_broadcast(lex, max_broadcast_rows), "word")
     sums = joined.groupBy(entity).agg(F.sum("s").alias("_sum"),
-                                      F.count(F.lit(1)).alias("_n"))
+                                      F.count("s").alias("_n"))
     avg = (F.col("_sum") / F.col("_n")).alias("avg_sentiment")
     return sums.select(entity, avg).withColumn("predicted",
                                                polarity("avg_sentiment"))
