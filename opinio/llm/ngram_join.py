@@ -270,7 +270,8 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.coalesce(F.when(F.col("root").isNotNull(), F.col("component_id")), F.col("id")).alias("component_id"),
         F.col("id").eqNullSafe(F.coalesce(F.when(F.col("root").isNotNull(), F.col("component_id")), F.col("id")))
         .alias("kept"),
-        "cls", "t", F.coalesce("root", "t").alias("component_key"))
+        "cls", "t", F.coalesce("root", F.concat("t", F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")))
+        .alias("component_key"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
