@@ -233,7 +233,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         sample_docs: int = SAMPLE_DOCS) -> Model | float:
     """The model, from at most ``sample_docs`` documents of each label; a plain
     share where one label has none."""
-    known = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # ids and labels alone are joined; texts are read for the drawn ids only
+    known = (texts.select("id").distinct()
              .join(labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
                    .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y")), "id"))
     count = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -241,9 +243,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return float(bool(count.get(1)))
     share = F.when(F.col("y") == 1, sample_docs / count[1]).otherwise(sample_docs / count[0])
     drawn = known.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) < share * F.lit(1 << 20))
-    rows = drawn.select("id", "y", "text").orderBy("id").collect()
-    # twice the bound is never exceeded: hashing draws sample_docs of each label on average
-    rows = [r for y in (0, 1) for r in [x for x in rows if x.y == y][:sample_docs]]
+    # hashing draws sample_docs of each label on average
+    ids = drawn.orderBy("id").collect()
+    ids = [(r.id, r.y) for y in (0, 1) for r in [x for x in ids if x.y == y][:sample_docs]]
+    if not ids:
+        return float(count[1] / (count[0] + count[1]))
+    # at most 2 * sample_docs rows; an id with several rows trains once
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(ids, drawn.select("id", "y").schema))
+    rows = texts.join(chosen, "id").groupBy("id", "y").agg(F.min("text").alias("text")).orderBy("id").collect()
     y = np.array([r.y == 1 for r in rows])
     if y.all() or not y.any():
         return float(count[1] / (count[0] + count[1]))
