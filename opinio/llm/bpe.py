@@ -104,26 +104,30 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             return pd.DataFrame({"id": [], "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []})
         unpack = zstandard.ZstdDecompressor()
         ids, held = [], []
+        same: dict[str, str] = {}  # one object per distinct word of the block
         for row_ids, sizes, z in zip(docs_of["id"], docs_of["size"], docs_of["z"]):
             raw, at = unpack.decompress(z), 0
             for i, size in zip(row_ids, sizes):
                 ids.append(i)
-                held.append(raw[at:at + size].decode("utf-8", "surrogatepass"))
+                split = text_pieces(raw[at:at + size].decode("utf-8", "surrogatepass"))
+                held.append(list(map(same.setdefault, split, split)))
                 at += size
-        found = _words(held)
+        found = sorted(same)
         piece = piece_bytes(path)
         by_place = [None] * len(found)
         for place, raw in zip(words_of["place"], words_of["ids"]):
             if place < len(found):
                 by_place[place] = raw
-        table_of: dict[str, tuple[int, str, bytes]] = {}
+        count_of: dict[str, int] = {}
+        ids_of: dict[str, str] = {}
+        bytes_of: dict[str, bytes] = {}
 
         def entry(word: str, x) -> None:
             got = b"".join([piece[i] for i in x])
             if got != word.encode("utf-8", "surrogatepass"):  # words moved on a second reading
                 x = encode_words([word], path)[0].tolist()
                 got = b"".join([piece[i] for i in x])
-            table_of[word] = (len(x), "".join([f"{i}," for i in x]), got)
+            count_of[word], ids_of[word], bytes_of[word] = len(x), "".join([f"{i}," for i in x]), got
 
         for word, raw in zip(found, by_place):
             if raw is None:
@@ -134,11 +138,10 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 x = np.frombuffer(raw, "<u2").tolist()
             entry(word, x)
         out = []
-        for i, t in zip(ids, held):
-            rows = [table_of[w] for w in text_pieces(t)]
-            text_ids = "".join([r[1] for r in rows])[:-1]
-            decoded = b"".join([r[2] for r in rows]).decode("utf-8", "replace")
-            out.append((i, sum([r[0] for r in rows]), hashlib.sha256(text_ids.encode()).hexdigest(),
+        for i, split in zip(ids, held):
+            text_ids = "".join(map(ids_of.__getitem__, split))[:-1]
+            decoded = b"".join(map(bytes_of.__getitem__, split)).decode("utf-8", "replace")
+            out.append((i, sum(map(count_of.__getitem__, split)), hashlib.sha256(text_ids.encode()).hexdigest(),
                         hashlib.sha256(decoded.encode("utf-8")).hexdigest(),
                         [int(x) for x in text_ids.split(",")] if keep_ids and text_ids else [],
                         decoded if keep_ids else ""))
