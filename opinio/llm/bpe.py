@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinio.llm.common import ship, table
-from opinio.llm.tokens import default_path, encode_words, piece_bytes, text_pieces
+from opinio.llm.tokens import default_path, encode_words, once, piece_bytes, text_pieces
 
 ship(__name__)
 
@@ -64,6 +64,43 @@ def _words(texts: list) -> list[str]:
     return sorted(seen)
 
 
+def _lookups(words: list[str], raw_of: list[bytes | None], path: str) -> tuple[dict[str, str], dict[str, bytes]]:
+    """word -> its ids, each followed by a comma; word -> its decoded bytes."""
+    def encoded(some: list[str]) -> list[bytes]:
+        return [b"\xff" + x.tobytes() for x in encode_words(some, path)]
+
+    missing = [k for k, raw in enumerate(raw_of) if raw is None]
+    for k, raw in zip(missing, encoded([words[k] for k in missing])):
+        raw_of[k] = raw
+    piece = piece_bytes(path)
+    text = once("id texts", path, lambda _: [f"{i}," for i in range(len(piece))])
+    ids_of, bytes_of = {}, {}
+
+    def fill(some: list[str], raws: list[bytes], sure: bool = False) -> list[str]:
+        """Words whose ids do not decode to them stay out, unless ``sure``."""
+        size = np.fromiter(map(len, raws), np.int64, len(raws))
+        if (size % 2).any():
+            parts = [np.frombuffer(r[1:], "<u4") if len(r) % 2 else np.frombuffer(r, "<u2") for r in raws]
+            flat, ends = np.concatenate(parts).tolist(), np.cumsum([len(x) for x in parts]).tolist()
+        else:
+            flat, ends = np.frombuffer(b"".join(raws), "<u2").tolist(), np.cumsum(size // 2).tolist()
+        wrong, a = [], 0
+        for word, b in zip(some, ends):
+            own = flat[a:b]
+            got = b"".join([piece[i] for i in own])
+            if sure or got == word.encode("utf-8", "surrogatepass"):
+                ids_of[word], bytes_of[word] = "".join([text[i] for i in own]), got
+            else:
+                wrong.append(word)
+            a = b
+        return wrong
+
+    moved = fill(words, raw_of)  # on a second reading in another order
+    if moved:
+        fill(moved, encoded(moved), sure=True)
+    return ids_of, bytes_of
+
+
 def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
                   block_bytes: int = BLOCK_BYTES, keep_ids: bool = False) -> DataFrame:
     """One row per document: n_tokens, ids_sha256, decoded_sha256; with
@@ -80,24 +117,25 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last: tuple[str, bytes] | None = None
+        narrow = len(piece_bytes(path)) <= 1 << 16
         for batch in batches:
             which, distinct = pd.factorize(batch["word"])
             known = last is not None and len(distinct) > 0 and distinct[0] == last[0]
             fresh = [str(w) for w in distinct[known:]]
-            raw = ([last[1]] if known else []) + [x.astype("<u2").tobytes() if len(x) == 0 or x.max() < 65536
-                                                  else b"\xff" + x.tobytes() for x in encode_words(fresh, path)]
+            raw = ([last[1]] if known else []) + [x.astype("<u2").tobytes() if narrow else b"\xff" + x.tobytes()
+                                                  for x in encode_words(fresh, path)]
             if len(raw):
                 last = str(distinct[-1]), raw[-1]
             yield pd.DataFrame({"block": batch["block"], "place": batch["place"], "ids": [raw[k] for k in which]})
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=3)
+        # one row a block, with matches over its whole length: copies lie far apart
+        press = zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(
+            3, window_log=25, enable_ldm=True))
         for block, ids, held in _in_blocks(batches, block_bytes):
-            for lo in range(0, len(ids), 256):
-                part = held[lo:lo + 256]
-                raw = [(t or "").encode("utf-8", "surrogatepass") for t in part]
-                yield pd.DataFrame({"block": [block], "id": [[None if pd.isna(i) else int(i) for i in ids[lo:lo + 256]]],
-                                    "size": [[len(r) for r in raw]], "z": [press.compress(b"".join(raw))]})
+            raw = [(t or "").encode("utf-8", "surrogatepass") for t in held]
+            yield pd.DataFrame({"block": [block], "id": [[None if pd.isna(i) else int(i) for i in ids]],
+                                "size": [[len(r) for r in raw]], "z": [press.compress(b"".join(raw))]})
 
     def assemble(key, docs_of: pd.DataFrame, words_of: pd.DataFrame) -> pd.DataFrame:
         if len(docs_of) == 0:
@@ -113,35 +151,16 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 held.append(list(map(same.setdefault, split, split)))
                 at += size
         found = sorted(same)
-        piece = piece_bytes(path)
-        by_place = [None] * len(found)
+        raw_of: list[bytes | None] = [None] * len(found)
         for place, raw in zip(words_of["place"], words_of["ids"]):
             if place < len(found):
-                by_place[place] = raw
-        count_of: dict[str, int] = {}
-        ids_of: dict[str, str] = {}
-        bytes_of: dict[str, bytes] = {}
-
-        def entry(word: str, x) -> None:
-            got = b"".join([piece[i] for i in x])
-            if got != word.encode("utf-8", "surrogatepass"):  # words moved on a second reading
-                x = encode_words([word], path)[0].tolist()
-                got = b"".join([piece[i] for i in x])
-            count_of[word], ids_of[word], bytes_of[word] = len(x), "".join([f"{i}," for i in x]), got
-
-        for word, raw in zip(found, by_place):
-            if raw is None:
-                x = encode_words([word], path)[0].tolist()
-            elif len(raw) % 2:
-                x = np.frombuffer(raw[1:], "<u4").tolist()
-            else:
-                x = np.frombuffer(raw, "<u2").tolist()
-            entry(word, x)
+                raw_of[place] = raw
+        ids_of, bytes_of = _lookups(found, raw_of, path)
         out = []
         for i, split in zip(ids, held):
             text_ids = "".join(map(ids_of.__getitem__, split))[:-1]
             decoded = b"".join(map(bytes_of.__getitem__, split)).decode("utf-8", "replace")
-            out.append((i, sum(map(count_of.__getitem__, split)), hashlib.sha256(text_ids.encode()).hexdigest(),
+            out.append((i, text_ids.count(",") + bool(text_ids), hashlib.sha256(text_ids.encode()).hexdigest(),
                         hashlib.sha256(decoded.encode("utf-8")).hexdigest(),
                         [int(x) for x in text_ids.split(",")] if keep_ids and text_ids else [],
                         decoded if keep_ids else ""))
