@@ -36,7 +36,7 @@ from opinio.plans import textmodels as TM
 from opinio.plans import views as V
 from opinio.session import scratch_path
 from opinio.sources import readers
-from opinio.specs import ELASTIC_NET_PARAMS, OLS_RUNS, REG_PARAMS
+from opinio.specs import ELASTIC_NET_PARAMS, REG_PARAMS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -504,7 +504,7 @@ def q_random_split(spark, d):
 # ------------------------------------------------------ least squares ----
 
 FEATURES = list(V.RATING_FEATURES)
-RUNS = [(V.RATINGS.subset(letters), fit, score) for letters, fit, score in OLS_RUNS]
+RUNS = [(list(names), fit, score) for names, fit, score in V.RATINGS.ols_runs]
 
 
 def _filled_ratings(spark, d):

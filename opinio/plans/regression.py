@@ -167,10 +167,10 @@ def subset_coefficients(spark: SparkSession, df: DataFrame, label: str,
 
 def ols_subset_report(spark: SparkSession, df: DataFrame, spec,
                       runs=None, split_col: str = "split") -> DataFrame:
-    """The OLS subset comparison for a review layout: runs given as
-    (rating codes, fit split, score split), e.g. ``specs.OLS_RUNS``."""
-    from opinio.specs import OLS_RUNS
-
-    runs = runs or OLS_RUNS
-    resolved = [(spec.subset(codes), fit, score) for codes, fit, score in runs]
-    return subset_mse_report(spark, df, spec.label_col, resolved, split_col)
+    """The OLS subset comparison for a review layout: ``runs`` as (feature
+    columns, fit split, score split), by default those of ``spec``."""
+    runs = runs or spec.ols_runs
+    if not runs:
+        raise ValueError("this layout has no OLS runs of its own: pass runs by column names")
+    return subset_mse_report(spark, df, spec.label_col,
+                             [(list(names), fit, score) for names, fit, score in runs], split_col)

@@ -26,20 +26,54 @@ from opinio.sources.readers import land
 from opinio.sources.readers import read_parquet
 from opinio.specs import ReviewSpec
 
-# The eight numeric features of the ratings view, in rating
-# code order O S C F I G W V.
+# The eight numeric features of the ratings view.
 RATING_FEATURES = (
     "l_quantity", "l_extendedprice", "l_discount", "l_tax",
     "l_linenumber", "o_totalprice", "p_size", "p_retailprice",
 )
 
+# OLS runs on the ratings view: its own columns, in as many runs as the airline layout has.
+RATING_OLS_RUNS = (
+    (("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "o_totalprice",
+      "p_size", "p_retailprice"),
+     "train", "validation"),
+    (("l_extendedprice", "l_discount", "l_tax", "l_linenumber", "p_retailprice"),
+     "train", "validation"),
+    (("l_extendedprice", "l_discount", "l_tax", "l_linenumber", "o_totalprice", "p_size",
+      "p_retailprice"),
+     "train", "validation"),
+    (("l_discount", "l_tax", "l_linenumber", "o_totalprice", "p_size", "p_retailprice"),
+     "validation", "train"),
+    (("l_tax", "l_linenumber", "p_retailprice"),
+     "train", "validation"),
+    (("l_quantity", "p_retailprice"),
+     "train", "validation"),
+    (("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "o_totalprice",
+      "p_size", "p_retailprice"),
+     "train", "train"),
+    (("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "o_totalprice",
+      "p_size", "p_retailprice"),
+     "train", "validation"),
+    (("l_quantity", "l_discount", "l_tax", "l_linenumber", "o_totalprice", "p_size",
+      "p_retailprice"),
+     "train", "validation"),
+    (("l_quantity", "l_discount", "l_tax", "o_totalprice", "p_size", "p_retailprice"),
+     "train", "validation"),
+    (("l_quantity", "l_discount", "o_totalprice", "p_size", "p_retailprice"),
+     "train", "validation"),
+    (("l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"),
+     "train", "validation"),
+    (("l_quantity", "l_discount", "p_size", "p_retailprice"),
+     "train", "validation"),
+)
+
 REVIEWS = ReviewSpec(entity_col="source", text_col="text",
                      label_col="quality", key_col="doc_id")
 DOCS = ReviewSpec(entity_col="source", text_col="text",
                   label_col="quality", key_col="doc_id")
 RATINGS = ReviewSpec(entity_col="l_suppkey", text_col="",
                      label_col="label", key_col="l_orderkey",
-                     rating_cols=RATING_FEATURES)
+                     rating_cols=RATING_FEATURES, ols_runs=RATING_OLS_RUNS)
 
 
 # row keys used to spread a table that arrives in too few splits

@@ -20,13 +20,8 @@ class ReviewSpec:
     label_col: str
     key_col: str | None = None
     rating_cols: tuple[str, ...] = field(default_factory=tuple)
-
-    def rating(self, letter: str) -> str:
-        """Rating column by the one-letter code used in OLS subset lists."""
-        return self.rating_cols[RATING_LETTERS.index(letter)]
-
-    def subset(self, letters: str) -> list[str]:
-        return [self.rating(ch) for ch in letters]
+    # OLS runs to compare: (feature columns, fit split, score split)
+    ols_runs: tuple[tuple[tuple[str, ...], str, str], ...] = field(default_factory=tuple)
 
 
 # The airline review file layout, by position (20 columns).
@@ -49,11 +44,6 @@ AIRPORT_COLUMNS = [
     "wifi_connectivity_rating", "airport_staff_rating", "recommended",
 ]
 
-# Rating codes for the eight airline ratings, in file order:
-# O overall, S seat comfort, C cabin staff, F food, I inflight entertainment,
-# G ground service, W wifi, V value for money.
-RATING_LETTERS = "OSCFIGWV"
-
 
 def all_string_schema(names: list[str]) -> T.StructType:
     """Every column a nullable string: the raw review CSV, cast later."""
@@ -64,9 +54,57 @@ def _rated(names: list[str]) -> tuple[str, ...]:
     return tuple(n + "f" for n in names if n.endswith("_rating"))
 
 
+# The 13 OLS runs on airline ratings (feature columns, fit split,
+# score split), in the order they are run.
+AIRLINE_OLS_RUNS = (
+    (("overall_ratingf", "seat_comfort_ratingf", "cabin_staff_ratingf",
+      "food_beverages_ratingf", "inflight_entertainment_ratingf", "ground_service_ratingf",
+      "wifi_connectivity_ratingf", "value_money_ratingf"),
+     "train", "validation"),
+    (("seat_comfort_ratingf", "cabin_staff_ratingf", "food_beverages_ratingf",
+      "inflight_entertainment_ratingf", "value_money_ratingf"),
+     "train", "validation"),
+    (("seat_comfort_ratingf", "cabin_staff_ratingf", "food_beverages_ratingf",
+      "inflight_entertainment_ratingf", "ground_service_ratingf", "wifi_connectivity_ratingf",
+      "value_money_ratingf"),
+     "train", "validation"),
+    (("cabin_staff_ratingf", "food_beverages_ratingf", "inflight_entertainment_ratingf",
+      "ground_service_ratingf", "wifi_connectivity_ratingf", "value_money_ratingf"),
+     "validation", "train"),
+    (("food_beverages_ratingf", "inflight_entertainment_ratingf", "value_money_ratingf"),
+     "train", "validation"),
+    (("overall_ratingf", "value_money_ratingf"),
+     "train", "validation"),
+    (("overall_ratingf", "seat_comfort_ratingf", "cabin_staff_ratingf",
+      "food_beverages_ratingf", "inflight_entertainment_ratingf", "ground_service_ratingf",
+      "wifi_connectivity_ratingf", "value_money_ratingf"),
+     "train", "train"),
+    (("overall_ratingf", "seat_comfort_ratingf", "cabin_staff_ratingf",
+      "food_beverages_ratingf", "inflight_entertainment_ratingf", "ground_service_ratingf",
+      "wifi_connectivity_ratingf", "value_money_ratingf"),
+     "train", "validation"),
+    (("overall_ratingf", "cabin_staff_ratingf", "food_beverages_ratingf",
+      "inflight_entertainment_ratingf", "ground_service_ratingf", "wifi_connectivity_ratingf",
+      "value_money_ratingf"),
+     "train", "validation"),
+    (("overall_ratingf", "cabin_staff_ratingf", "food_beverages_ratingf",
+      "ground_service_ratingf", "wifi_connectivity_ratingf", "value_money_ratingf"),
+     "train", "validation"),
+    (("overall_ratingf", "cabin_staff_ratingf", "ground_service_ratingf",
+      "wifi_connectivity_ratingf", "value_money_ratingf"),
+     "train", "validation"),
+    (("overall_ratingf", "cabin_staff_ratingf", "food_beverages_ratingf",
+      "wifi_connectivity_ratingf", "value_money_ratingf"),
+     "train", "validation"),
+    (("overall_ratingf", "cabin_staff_ratingf", "wifi_connectivity_ratingf",
+      "value_money_ratingf"),
+     "train", "validation"),
+)
+
 AIRLINE = ReviewSpec(
     entity_col="airline_name", text_col="content", label_col="recommendedi",
     key_col="link", rating_cols=_rated(AIRLINE_COLUMNS),
+    ols_runs=AIRLINE_OLS_RUNS,
 )
 
 AIRPORT = ReviewSpec(
@@ -87,24 +125,6 @@ AIRLINE_FILL_MEANS = {
     "value_money_ratingf": 3.1677117572692794,
 }
 
-# The 13 OLS runs (features by rating code, fit split, score
-# split), in the order they are run.
-OLS_RUNS = [
-    ("OSCFIGWV", "train", "validation"),
-    ("SCFIV", "train", "validation"),
-    ("SCFIGWV", "train", "validation"),
-    ("CFIGWV", "validation", "train"),
-    ("FIV", "train", "validation"),
-    ("OV", "train", "validation"),
-    ("OSCFIGWV", "train", "train"),
-    ("OSCFIGWV", "train", "validation"),
-    ("OCFIGWV", "train", "validation"),
-    ("OCFGWV", "train", "validation"),
-    ("OCGWV", "train", "validation"),
-    ("OCFWV", "train", "validation"),
-    ("OCWV", "train", "validation"),
-]
-
 # The text-model parameter grid (regParam x elasticNetParam).
 REG_PARAMS = [0.0, 0.01, 0.02]
 ELASTIC_NET_PARAMS = [0.0, 0.2, 0.4]

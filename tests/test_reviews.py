@@ -4,10 +4,11 @@ import csv
 import os
 import tempfile
 
+import pytest
 
 from opinio.plans.regression import ols_subset_report
 from opinio.plans.reviews import load_reviews, model_ready
-from opinio.specs import AIRLINE, AIRLINE_COLUMNS, AIRLINE_FILL_MEANS, OLS_RUNS
+from opinio.specs import AIRLINE, AIRLINE_COLUMNS, AIRLINE_FILL_MEANS
 
 
 def _write(rows, header=True):
@@ -49,7 +50,7 @@ def test_airline_ols_report_runs_all_13(spark):
     df = load_reviews(spark, _write(rows))
     ready = model_ready(df, AIRLINE, constants=AIRLINE_FILL_MEANS)
     rep = ols_subset_report(spark, ready, AIRLINE).collect()
-    assert [r.run for r in rep] == list(range(1, len(OLS_RUNS) + 1))
+    assert [r.run for r in rep] == list(range(1, len(AIRLINE.ols_runs) + 1))
     assert all(r.mse is not None and r.mse >= 0 for r in rep)
     ready2 = model_ready(df, AIRLINE)
     assert ready2.where("overall_ratingf IS NULL").count() == 0
@@ -71,6 +72,20 @@ def test_airport_layout(spark):
            for r in df.collect()}
     assert got == {"/a/1": (3.0, None, 0), "/a/2": (9.0, 9.0, 1)}
     assert len(AIRPORT.rating_cols) == 9
+    assert all(f.endswith(".parquet") for f in df.inputFiles())
+
+
+def test_airport_ols_runs_by_column_name(spark):
+    from opinio.specs import AIRPORT
+    rows = [(i, float(i % 7), float(i % 5), i % 2, "train" if i % 3 else "validation") for i in range(200)]
+    df = spark.createDataFrame(rows, "key int, airport_staff_ratingf double, queuing_ratingf double, "
+                                     "recommendedi int, split string")
+    runs = [(("airport_staff_ratingf",), "train", "validation"),
+            (("airport_staff_ratingf", "queuing_ratingf"), "train", "train")]
+    rep = ols_subset_report(spark, df, AIRPORT, runs).collect()
+    assert [r.features for r in rep] == ["airport_staff_ratingf", "airport_staff_ratingf,queuing_ratingf"]
+    with pytest.raises(ValueError):
+        ols_subset_report(spark, df, AIRPORT)
 
 
 def test_land_writes_once_and_reads_back(spark):
