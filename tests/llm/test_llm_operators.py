@@ -90,6 +90,48 @@ def test_embedding_links_equal_brute_force(spark):
     assert embed_dedup.embedding_links(df.limit(0)).count() == 0
 
 
+def _planted(n, pairs, dim=64):
+    """A hot topic: ``n`` vectors of mutual cosine about 0.8, and ``pairs`` of them again at cosine just above 0.95."""
+    rng = np.random.default_rng(9)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    side = unit(rng.standard_normal((n, dim - 1)))
+    x = np.hstack([np.full((n, 1), 0.8 ** 0.5), 0.2 ** 0.5 * side])
+    off = rng.standard_normal((pairs, dim))
+    off = unit(off - (off * x[:pairs]).sum(1, keepdims=True) * x[:pairs])
+    c = rng.uniform(0.951, 0.955, (pairs, 1))
+    return np.vstack([x, c * x[:pairs] + (1 - c * c) ** 0.5 * off])
+
+
+@pytest.mark.parametrize("wide", [embed_dedup.WIDE, 36])  # the second: rounds among those left before all pairs
+def test_embedding_links_in_a_dense_cluster(spark, monkeypatch, wide):
+    monkeypatch.setattr(embed_dedup, "WIDE", wide)
+    n, pairs = 6000, 500
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(_planted(n, pairs))], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embed_dedup.embedding_links(df, pairs_from=0).collect()}
+    assert len(got) == n + pairs
+    met = sum(got[n + k].component_id == got[k].component_id and got[k].n_links >= 1 for k in range(pairs))
+    assert met >= 0.995 * pairs
+
+
+def test_passes_grow_with_the_table():
+    passes = [embed_dedup.first_passes(n, 0.95, 32, 1e-3) for n in (10, 50_000, 1_000_000, 100_000_000)]
+    assert passes == [1, 18, 31, 66]
+
+
+def test_spanning_links_join_the_same_rows():
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 400, (2, 250))
+    i, j = embed_dedup.spanning(400, a, b)
+
+    def parts(links):
+        low = list(range(400))
+        for x, y in list(links) * 400:
+            low[x] = low[y] = min(low[x], low[y])
+        return low
+
+    assert len(i) < 400 and parts(zip(a.tolist(), b.tolist())) == parts(zip(i.tolist(), j.tolist()))
+
+
 # ---- 2, 8: tokens
 
 def test_packing_covers_every_id_once(docs, texts, empty):
