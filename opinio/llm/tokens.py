@@ -18,8 +18,9 @@ ship(__name__)
 
 SPECIAL = "<|endoftext|>"
 _SPACE = " \t\n\r\x0b\x0c\x85\xa0  -     　"
-# white space beside white space, or a sign before one of the cut signs: cut at white space only
-_AWKWARD = re.compile(f"[{_SPACE}][{_SPACE}]|[^\\w{_SPACE}][.,]|[\x00\x1c-\x1f]|_[.,]")
+# white space beside white space, or white space or a sign before one of the cut signs (the tokeniser takes
+# ' .' as one word): cut at white space only
+_AWKWARD = re.compile(f"[{_SPACE}][{_SPACE}.,]|[^\\w{_SPACE}][.,]|[\x00\x1c-\x1f]|_[.,]")
 _RUNS = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _RARE = re.compile("[^\x00-ɏ]")
 

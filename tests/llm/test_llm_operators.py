@@ -152,6 +152,31 @@ def test_packing_covers_every_id_once(docs, texts, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+def _signs():
+    rnd = random.Random(11)
+    near = ["word .", "word , next", "a ,b", " .", " ,", " , x", ". ,", "1 .5", "x .. y", "mot , suite . Fin !", "\n.x", "\t,", "\u00a0.",
+            "it's , 's", "_ .", "\u00fc .\u00df", "<|endoftext|> . a", "a .<|endoftext|>, b"]
+    return near + ["".join(rnd.choice(" .,!'_-\nab\u00e9Z90\t") for _ in range(rnd.randint(1, 30))) for _ in range(3000)]
+
+
+def test_pieces_give_the_ids_of_the_whole_text():
+    path = tokens.default_path()
+    tok, held = tokens.tokenizer(path), tokens.PieceIds(path)
+    for t in _signs():
+        assert np.frombuffer(held.encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_spaced_signs_in_both_token_queries(spark):
+    path = tokens.default_path()
+    tok, some = tokens.tokenizer(path), _signs()[:60]
+    df = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
+    coded = {r.doc_id: r for r in bpe.encode_decode(df, keep_ids=True).collect()}
+    packed = {r.doc_id: r.doc_tokens for r in packing.pack_documents(df).collect()}
+    for k, t in enumerate(some):
+        ids = tok.encode(t, add_special_tokens=False).ids
+        assert coded[k].ids == ids and coded[k].decoded == t and packed[k] == len(ids) + 1
+
+
 def test_bpe_round_trip(docs, texts, empty):
     tok = tokens.tokenizer(tokens.default_path())
     for block in (bpe.BLOCK_BYTES, 2000):
