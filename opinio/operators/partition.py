@@ -28,12 +28,16 @@ def spread(df: DataFrame, min_partitions: int | None = None,
     return df
 
 
-def fit_partitions(spark) -> int:
-    """Partitions of a model's training input: ``spark.opinio.fit.partitions``
-    (default 4). A setting rather than a function of rows or cores, because
-    bagging follows partitions: the same setting gives the same model on any
-    cluster. Set it to a few hundred megabytes a partition."""
-    return int(spark.conf.get("spark.opinio.fit.partitions", "4"))
+ROWS_A_FIT_PARTITION = 100_000
+
+
+def fit_partitions(spark, rows: int = 0) -> int:
+    """Partitions of a model's training input: one for every ROWS_A_FIT_PARTITION
+    rows, at least ``spark.opinio.fit.partitions`` (default 4). A function of the
+    rows, not of cores, because bagging follows partitions: the same rows
+    give the same model on any cluster."""
+    least = int(spark.conf.get("spark.opinio.fit.partitions", "4"))
+    return max(least, -(-rows // ROWS_A_FIT_PARTITION))
 
 
 def persist_for_iterations(df: DataFrame, keys: list[str] | None = None,
@@ -44,7 +48,7 @@ def persist_for_iterations(df: DataFrame, keys: list[str] | None = None,
     fit depends on the rows alone. The caller unpersists."""
     keys = keys or [f.name for f in df.schema.fields
                     if f.dataType.typeName() in PLAIN_TYPES]
-    n = fit_partitions(df.sparkSession)
+    n = fit_partitions(df.sparkSession, df.count())
     cached = df.repartition(n, *keys).sortWithinPartitions(*keys).persist(level)
     cached.count()
     return cached

@@ -66,6 +66,16 @@ def test_model_input_layout_is_fixed(spark):
     assert a == b and len({p for _, p in a}) > 1
 
 
+def test_model_input_layout_grows_with_the_rows(spark, monkeypatch):
+    from opinio.operators import partition
+
+    assert partition.fit_partitions(spark, 400_000) == 4 and partition.fit_partitions(spark, 10**9) == 10_000
+    monkeypatch.setattr(partition, "ROWS_A_FIT_PARTITION", 100)
+    df = spark.range(1000).withColumn("x", F.col("id") * 2.0)
+    parts = [persist_for_iterations(df.repartition(k)).rdd.getNumPartitions() for k in (2, 9)]
+    assert parts == [10, 10]
+
+
 def test_vocabulary_has_no_cap_unless_asked(spark):
     rows = [(d, f"w{k:04d}", 1 + (k % 3)) for d in range(5) for k in range(300)]
     counts = spark.createDataFrame(rows, "doc long, word string, n long")
