@@ -174,13 +174,17 @@ def nearest(emb: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
         x = np.stack([np.frombuffer(v, np.float64) for v in have["raw"]])
         ids = have["ids"].to_list()
         square = (x * x).sum(1)
-        top = min(len(x), 2 * k + 8)
+        norm, top = np.sqrt(square), min(len(x), k + 1)  # one may be the query's own row
+        grain = 4 * np.finfo(np.float64).eps * (x.shape[1] + 4)
         found = []
         for lo in range(0, len(want), 512):
             names = want["query_id"].to_numpy()[lo:lo + 512]
             q = np.stack([np.frombuffer(v, np.float64) for v in want["raw"].to_numpy()[lo:lo + 512]])
             rough = square[None, :] - 2 * (q @ x.T)
-            near = np.argpartition(rough, top - 1, axis=1)[:, :top] if top < len(x) else np.tile(np.arange(len(x)), (len(q), 1))
+            # all that rounding or a tie may put among the first, whatever their number
+            slack = grain * (norm[None, :] + np.linalg.norm(q, axis=1)[:, None]) ** 2
+            last = np.partition(rough + slack, top - 1, axis=1)[:, top - 1]
+            near = [np.flatnonzero(~(r > m)) for r, m in zip(rough - slack, last)]
             for name, v, some in zip(names.tolist(), q, near):
                 gap = x[some] - v
                 score = np.sqrt((gap * gap).sum(1))
