@@ -3,7 +3,8 @@
 posterior(language) ~ text likelihood x P(declared | language) x P(suffix | language) x host prior
 
 * Text: hashed byte 3-grams under a multinomial model per language, fitted on a
-  bounded sample of rows with known language (``sample_rows`` a language). The
+  bounded sample of distinct texts with known language (``sample_rows`` a language, at most
+  MOST_LANGUAGES languages; more raise a ValueError). The
   log-likelihood is tempered (``temper``): neighbouring n-grams repeat
   each other's evidence.
 * Declared markup language and address suffix: P(value | language) from all rows,
@@ -39,6 +40,7 @@ ship(__name__)
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 1500
 SAMPLE_CHARS = 4000
+MOST_LANGUAGES = 200
 TEMPER = 0.3
 SMOOTH = 20.0
 STRENGTH = 50.0
@@ -67,20 +69,27 @@ class TextModel:
 
 
 def fit_text(rows: DataFrame, text_col: str, lang_col: str, sample_rows: int = SAMPLE_ROWS) -> TextModel:
-    """Per-language 3-gram model from about ``sample_rows`` rows of each language
-    (at most twice as many; the first SAMPLE_CHARS characters of a sampled row)."""
-    known = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    count = {r[0]: r[1] for r in known.groupBy(lang_col).agg(F.count(F.lit(1))).orderBy(F.desc("count(1)"), lang_col)
-             .limit(200).collect()}
+    """Per-language 3-gram model from about ``sample_rows`` distinct texts of each
+    language, of each a span of at most SAMPLE_CHARS characters at a place drawn by its
+    hash. More than MOST_LANGUAGES languages raise a ValueError: none is left out."""
+    known = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    count = {r[0]: r[1] for r in known.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02))
+             .limit(MOST_LANGUAGES + 1).collect()}
+    if len(count) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages in {lang_col}")
     if not count:
         return TextModel([], np.zeros((BUCKETS, 0), np.float32))
-    rate = F.create_map(*[x for lang, n in count.items() for x in (F.lit(lang), F.lit(min(1.0, sample_rows / n)))])
-    draw = F.pmod(F.xxhash64(text_col, F.lit(13)), F.lit(1 << 20)) < F.element_at(rate, F.col(lang_col)) * F.lit(1 << 20)
-    drawn = known.where(F.col(lang_col).isin(list(count))).where(draw).select(
-        F.col(lang_col).alias("lang"), F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
+    rate = F.create_map(*[x for lang, n in count.items() for x in (F.lit(lang), F.lit(min(1.0, sample_rows / max(1, n))))])
+    # by text and language, so that copies of a text count once in each language
+    draw = F.pmod(F.xxhash64("text", "lang", F.lit(13)), F.lit(1 << 20)) < F.element_at(rate, F.col("lang")) * F.lit(1 << 20)
+    start = F.pmod(F.xxhash64("text", F.lit(17)), F.greatest(F.lit(1), F.length("text") - F.lit(SAMPLE_CHARS - 1))) + F.lit(1)
+    drawn = known.where(draw).select("lang", F.xxhash64("text").alias("key"), F.md5("text").alias("digest"),
+                                     F.substring(F.col("text"), start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"))
+    drawn = drawn.dropDuplicates(["lang", "key", "digest"]).select("lang", "text")
     langs = sorted(count)
     held = {lang: np.ones(BUCKETS) * 0.05 for lang in langs}
-    for r in drawn.limit(2 * sample_rows * len(langs)).collect():
+    for r in drawn.collect():
         raw = np.frombuffer((r.text or "").lower().encode("utf-8", "surrogatepass"), np.uint8)
         if len(raw) > 2:
             held[r.lang] += np.bincount(grams(raw), minlength=BUCKETS)

@@ -401,6 +401,21 @@ def test_language_evidence(spark):
     assert language.identify(df, none, "text").where("accepted").count() == 0
 
 
+def test_language_sample_of_copies_and_spans(spark):
+    long = "z" * 50_000
+    one = [(f"only this text {k}", "aa") for k in range(40)]
+    once, often = (language.fit_text(spark.createDataFrame(rows + [(long + "ok", "bb")], "text string, lang string"), "text", "lang")
+                   for rows in (one, one + one[:1] * 3000))
+    assert once.langs == often.langs and np.array_equal(once.logp, often.logp)
+    # the place of a span depends on the text: what stands at the end of long texts is seen too
+    tails = spark.createDataFrame([("x" * 4000 + f"{k:04d}" + "q" * 3000, "aa") for k in range(60)], "text string, lang string")
+    model = language.fit_text(tails, "text", "lang")
+    assert model.loglik(["qqqq"])[0, 0] > -10
+    many = spark.createDataFrame([("text", f"l{k}") for k in range(language.MOST_LANGUAGES + 1)], "text string, lang string")
+    with pytest.raises(ValueError):
+        language.fit_text(many, "text", "lang")
+
+
 def test_page_evidence(spark):
     df = spark.createDataFrame([('<HTML lang="FR"><script>x</script><p>Un mot</p>', "https://a.example.org/fr/1?x"),
                                 (None, None)], "html string, url string")
