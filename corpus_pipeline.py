@@ -46,7 +46,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Fitted classifiers and the tokeniser have no SQL form; tests/llm compares with a brute-force version.
+#: Fitted classifiers and the tokeniser have no SQL form; tests/llm compares the operators, not the whole run, with
+#: brute force or held-out labels, and of the run checks columns, row counts and that it equals its stages.
 ORACLE_SQL = None
 
 
