@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from opinio.llm import ann, bpe, embed_dedup, language, ngram_join, packing, quality, sharding, suffix_dedup, toxicity
+from opinio.llm import (ann, bpe, chat_format, conversation_repair, embed_dedup, language, ngram_join, packing, quality, sharding,
+                        suffix_dedup, toxicity, whitening)
 
 QUERIES = {f.__name__: f for f in (
     embed_dedup.op1_embedding_near_dedup,
@@ -15,6 +16,9 @@ QUERIES = {f.__name__: f for f in (
     bpe.op8_bpe_encode_decode,
     language.op9_language_id,
     quality.op10_eb_quality,
+    chat_format.op11_chat_format,
+    whitening.op12_embedding_whitening,
+    conversation_repair.op13_conversation_repair,
 )}
 
 #: SQL where it can express the operator on whole tables.
@@ -22,4 +26,6 @@ ORACLE = {
     "op1_embedding_near_dedup": embed_dedup.ORACLE,
     "op3_ngram_jaccard_join": ngram_join.ORACLE,
     "op5_lookup_table_sharding": sharding.ORACLE,
+    "op11_chat_format": chat_format.ORACLE,
+    "op13_conversation_repair": conversation_repair.ORACLE,
 }
