@@ -36,6 +36,8 @@ from opinio.plans import textmodels as TM
 from opinio.plans import views as V
 from opinio.session import scratch_path
 from opinio.sources import readers
+from opinio.sources.csv_split import read_split_csv
+from opinio.sources.models import forest_nodes, load_model, model_path, save_model
 from opinio.specs import ELASTIC_NET_PARAMS, REG_PARAMS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -291,6 +293,19 @@ def q_top_bottom_words(spark, d):
                       r6("idf").alias("idf"))
 
 
+@query("model_roundtrip", f"""
+WITH {_COUNTS_SQL}
+SELECT doc_id, word, round(n * idf, 6) AS tfidf FROM counts JOIN idf USING (word)""")
+def q_model_roundtrip(spark, d):
+    """Tokeniser to IDF fitted, stored, loaded again, and the loaded pipeline applied to every document."""
+    docs = V.docs(spark, d).where(F.col("text").isNotNull()).select("doc_id", "text")
+    fitted = text.tfidf_estimator("text", list(STOP_WORDS)).fit(docs)
+    version = save_model(spark, fitted, "documents-tfidf", notes={"input": "documents"})
+    model = load_model(spark, "documents-tfidf", version)
+    return text.words_of_vectors(model.transform(docs), model, ["doc_id"]).select(
+        "doc_id", "word", r6("tfidf").alias("tfidf"))
+
+
 # ------------------------------------------------------------- sources ----
 
 @query("csv_review_scan",
@@ -301,6 +316,14 @@ def q_csv_review_scan(spark, d):
     return readers.read_review_csv(spark, path, src.schema)
 
 
+@query("csv_split_scan", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_csv_split_scan(spark, d):
+    """As ``csv_review_scan``, each file read by as many tasks as it has byte ranges."""
+    src = V.docs(spark, d).select("doc_id", "text", "lang", "source", "n_chars")
+    path = readers.write_csv(src, scratch_path(spark, "documents-csv"))
+    return read_split_csv(spark, path, src.schema)
+
+
 _POSITIONAL = ["review_id", "content", "language", "entity", "length"]
 
 
@@ -669,10 +692,29 @@ def q_rf_importances(spark, d):
     return CL.forest_importances(spark, model, SUB_RATINGS)
 
 
+def _stored_forest(spark, d):
+    """Split ratings, the fitted forest and its node table, read from the stored model."""
+    f, model = _forest_model(spark, d)
+    version = save_model(spark, model, "ratings-forest")
+    return f, model, forest_nodes(spark, model_path(spark, "ratings-forest", version), SUB_RATINGS)
+
+
 @query("rf_trees")
 def q_rf_trees(spark, d):
-    _, model = _forest_model(spark, d)
-    return CL.forest_trees(spark, model)
+    return _stored_forest(spark, d)[2]
+
+
+@query("rf_node_scores")
+def q_rf_node_scores(spark, d):
+    """Every rating scored by the stored node table."""
+    f, _, nodes = _stored_forest(spark, d)
+    return CL.forest_scores(f, nodes, SUB_RATINGS).select(
+        "l_orderkey", "line", "split", "label", "forest_score", "forest_prediction")
+
+
+@query("rf_gain_importances")
+def q_rf_gain_importances(spark, d):
+    return CL.gain_importances(_stored_forest(spark, d)[2], SUB_RATINGS)
 
 
 @query("weight_lookup")

@@ -159,6 +159,21 @@ def tfidf_estimator(text: str, stop_words: list[str],
     ])
 
 
+def words_of_vectors(df: DataFrame, model, keep: list[str], vector: str = "tfidf") -> DataFrame:
+    """Sparse vectors as rows ``keep + (word, <vector>)``, by the vocabulary of the fitted pipeline
+    ``model`` (a bounded list)."""
+    import pandas as pd
+
+    from opinio.operators.joins import join_checked
+
+    parts = F.unwrap_udt(vector)
+    pairs = F.explode(F.arrays_zip(parts["indices"].alias("i"), parts["values"].alias("v")))
+    known = fitted_vocabulary(model)
+    words = df.sparkSession.createDataFrame(pd.DataFrame({"i": range(len(known)), "word": known}), "i int, word string")
+    rows = df.select(*keep, pairs.alias("_p")).select(*keep, F.col("_p.i").alias("i"), F.col("_p.v").alias(vector))
+    return join_checked(rows, words, "i").select(*keep, "word", vector)
+
+
 def fitted_vocabulary(model) -> list[str]:
     """Vocabulary of the CountVectorizer inside a fitted TF-IDF pipeline
     (bounded by vocabSize)."""

@@ -70,6 +70,46 @@ def forest_trees(spark: SparkSession, model: PipelineModel) -> DataFrame:
         rows, "tree int, depth int, num_nodes int, rules string")
 
 
+def forest_scores(df: DataFrame, nodes: DataFrame, features: list[str]) -> DataFrame:
+    """``df`` with ``forest_score`` (P(label = 1)) and ``forest_prediction`` from a node table
+    (``sources.models.forest_nodes``) alone: all trees walk down together, a level at a time, by lookups in
+    the table's columns. The table (at most trees * 2^depth rows, a model's size) is a
+    constant of the plan, so scoring is a map without any shuffle or Python. NULL and NaN go right."""
+    rows = nodes.orderBy("tree", "node").select(
+        "tree", "node", "depth", "feature", "threshold", "left_child", "right_child", "votes").collect()
+    place = {(r.tree, r.node): k for k, r in enumerate(rows)}
+    child = lambda k: [place.get((r.tree, r[k]), -1) for r in rows]
+    column = lambda values, kind: F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+    feature = column([features.index(r.feature) if r.feature is not None else -1 for r in rows], "int")
+    threshold = column([r.threshold or 0.0 for r in rows], "double")
+    left, right = column(child("left_child"), "int"), column(child("right_child"), "int")
+    share = column([r.votes[1] / sum(r.votes) for r in rows], "double")
+    values = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(float("nan"))) for f in features])
+
+    def down(n):
+        goes_left = F.get(values, F.get(feature, n)) <= F.get(threshold, n)
+        return F.when(F.get(left, n) < 0, n).when(goes_left, F.get(left, n)).otherwise(F.get(right, n))
+
+    out = df.withColumn("_at", column([place[r.tree, r.node] for r in rows if r.depth == 0], "int"))
+    for _ in range(max((r.depth for r in rows), default=0)):
+        out = out.withColumn("_at", F.transform("_at", down))
+    total = F.aggregate("_at", F.lit(0.0), lambda a, n: a + F.get(share, n))
+    return (out.withColumn("forest_score", total / F.size("_at")).drop("_at")
+            .withColumn("forest_prediction", (F.col("forest_score") > 0.5).cast("double")))
+
+
+def gain_importances(nodes: DataFrame, features: list[str]) -> DataFrame:
+    """``(column, weight)`` from a node table: each tree's gains, weighted by its nodes' rows, add up to 1;
+    then the mean over the trees that split at all."""
+    gains = nodes.where("feature is not null").groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("n")).alias("g"))
+    whole = gains.groupBy("tree").agg(F.sum("g").alias("all"))
+    mean = (gains.join(whole, "tree").groupBy("feature").agg(F.sum(F.col("g") / F.col("all")).alias("s")))
+    names = nodes.sparkSession.createDataFrame([(f,) for f in features], "column string")
+    total = mean.agg(F.sum("s")).first()[0] or 1.0
+    return (names.join(mean, names["column"] == mean["feature"], "left")
+            .select("column", (F.coalesce("s", F.lit(0.0)) / F.lit(total)).alias("weight")).orderBy("weight", "column"))
+
+
 def weight_lookup(weights: DataFrame, column: str) -> DataFrame:
     return weights.where(F.col("column") == column)
 

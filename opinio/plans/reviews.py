@@ -4,7 +4,7 @@ The reference's cleaning chain as one function per layout: read the CSV
 (quoted multi-line text, header row not taken as data), cast the rating
 columns leniently to ``<name>f`` doubles, cast the label via double, drop
 the string originals, keep rows labelled 0 or 1 -- one scan, no self-union.
-Multi-line CSV cannot be split into tasks, so the cleaned table is written once
+Files are read in byte ranges (``sources.csv_split``); the cleaned table is written once
 to the shared folder and later jobs scan that copy.
 """
 
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from opinio.operators import clean
 from opinio.operators.split import hash_split
-from opinio.sources.readers import land, read_review_csv
+from opinio.sources.csv_split import read_split_csv
+from opinio.sources.readers import land
 from opinio.specs import AIRLINE, AIRLINE_COLUMNS, ReviewSpec
 
 
@@ -30,8 +31,8 @@ def load_reviews(spark: SparkSession, path: str,
     """Cleaned review table. With ``header=False`` the columns are named by
     position (the file's own header line, if any, then fails the label
     cast and is dropped by the label filter). ``landed=False`` leaves the frame
-    lazy: every action then parses the file again, one task per file."""
-    raw = read_review_csv(spark, path, layout, header=header)
+    lazy: every action then parses the file again."""
+    raw = read_split_csv(spark, path, layout, header=header)
     ratings = [c for c in layout if c.endswith("_rating")]
     out = clean.cast_lenient(raw, ratings, suffix="f")
     out = clean.cast_label(out, label_source, spec.label_col,

@@ -2,8 +2,9 @@
 
 Review CSV files hold free text with embedded newlines and doubled quotes,
 so they are read with ``multiLine`` and ``escape='"'`` and an explicit
-all-string schema (no inference pass, header row not taken as data). A
-multi-line CSV file is not splittable, so large inputs are landed once to
+all-string schema (no inference pass, header row not taken as data). Spark's
+reader takes one task per such file; ``csv_split.read_split_csv`` reads byte ranges.
+Large inputs are landed once to
 parquet (``land_csv``) and every later job reads the columnar copy with
 column pruning and predicate pushdown.
 """
@@ -49,8 +50,10 @@ def write_csv(df: DataFrame, path: str, header: bool = True,
 
 def land_csv(spark: SparkSession, csv_path: str, parquet_path: str,
              schema: T.StructType | list[str], header: bool = True) -> DataFrame:
-    """Read multi-line CSV once, write parquet, return the parquet scan."""
-    read_review_csv(spark, csv_path, schema, header).write.mode(
+    """Read multi-line CSV once, in byte ranges, write parquet, return the parquet scan."""
+    from opinio.sources.csv_split import read_split_csv
+
+    read_split_csv(spark, csv_path, schema, header).write.mode(
         "overwrite").parquet(parquet_path)
     return spark.read.parquet(parquet_path)
 
