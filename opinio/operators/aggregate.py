@@ -10,8 +10,7 @@ from __future__ import annotations
 import math
 from typing import Iterable
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinio.functions.columns import two_standard_errors
@@ -89,55 +88,67 @@ def top_bottom(df: DataFrame, weight: str, key: str, k: int) -> DataFrame:
     return both.withColumn("rank", F.row_number().over(w_b))
 
 
+ROWS_A_RANGE = 20_000
+
+
+def in_ranges(df: DataFrame, order: list[Column], rows_per_range: int = ROWS_A_RANGE, col: str = "_range") -> DataFrame:
+    """``df`` cut into ranges of ``order`` (distinct, all told): a landed table with ``col``, an array that
+    orders the ranges, each of which holds at most twice ``rows_per_range`` rows.
+
+    As many ranges as the rows need, cut at sampled values; ranges that sampling left too large are cut again until
+    none is, so neither the number of ranges nor the skew of the values is bounded."""
+    from opinio.sources.readers import land
+
+    df = land(df, "unranged")
+    n = df.count()
+    if n <= rows_per_range:
+        return df.withColumn(col, F.array(F.lit(0)))
+    done, todo, many = None, df.withColumn(col, F.array().cast("array<int>")), n
+    while many:
+        parts = max(2, math.ceil(many / rows_per_range))
+        cut = todo.repartitionByRange(parts, F.col(col), *order)
+        cut = land(cut.withColumn(col, F.concat(col, F.array(F.spark_partition_id()))), "ranged")
+        large = cut.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 2 * rows_per_range)
+        large = land(large, "large-ranges")
+        many = large.agg(F.sum("_n")).first()[0] or 0
+        fine = cut.join(large.select(col), col, "left_anti") if many else cut
+        done = fine if done is None else done.unionByName(fine)
+        todo = cut.join(large.select(col), col, "left_semi") if many else None
+    return done
+
+
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str],
-                by: list[str] | None = None, buckets: int | None = None,
-                suffix: str = "_before", rows_per_range: int = 20_000) -> DataFrame:
+                by: list[str] | None = None, suffix: str = "_before",
+                rows_per_range: int = ROWS_A_RANGE) -> DataFrame:
     """For every row, the sums of ``sum_cols`` over all rows (of the same
     ``by`` group) with a strictly smaller ``order_col``.
 
-    Distributed: rows are cut into ``buckets`` ranges of ``order_col``
-    (approximate quantiles), per-range totals (a small table) are
-    accumulated, and the rest is a window inside each range. No step puts
-    a whole group into one task. ``order_col`` values should be distinct
+    Distributed: rows are cut into ranges of ``order_col`` (``in_ranges``: as many as the rows
+    need), per-range totals (a row a range and group) are accumulated, and the rest is a window inside each range. No step
+    puts a whole group into one task. ``order_col`` values should be distinct
     within a group (pre-aggregate first).
     """
     by = list(by or [])
-    # one pass: the row count and quantiles at the finest useful resolution
-    # (twice the shuffle width, >= 64 ranges); then as many ranges as keep
-    # each near ``rows_per_range`` rows -- a small input is a single range
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    finest = buckets or max(64, 2 * parts)
-    probs = [i / finest for i in range(1, finest)]
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(order_col, probs, 10_000).alias("q")).first()
-    want = buckets or max(1, min(finest, math.ceil(row["n"] / rows_per_range)))
-    qs = row["q"] or []
-    step = finest / want
-    picked = [qs[min(len(qs) - 1, round(j * step) - 1)] for j in range(1, want)] if qs else []
-    edges = sorted({float(x) for x in picked if x is not None})
-    splits = [float("-inf")] + edges + [float("inf")]
-    if edges:
-        dd = df.withColumn("_ord_d", F.col(order_col).cast("double"))
-        bucketed = Bucketizer(splits=splits, inputCol="_ord_d", outputCol="_bkt",
-                              handleInvalid="keep").transform(dd).drop("_ord_d")
-    else:
-        bucketed = df.withColumn("_bkt", F.lit(0.0))
-    totals = bucketed.groupBy(*by, "_bkt").agg(
-        *[F.sum(c).alias("_t_" + c) for c in sum_cols])
-    w_tot = (Window.partitionBy(*by).orderBy("_bkt")
+    ranged = in_ranges(df, [F.col(c) for c in (order_col, *by)], rows_per_range)
+    totals = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias("_t_" + c) for c in sum_cols])
+    w_tot = (Window.partitionBy(*by).orderBy("_range")
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*by, "_bkt", *[
+    offsets = totals.select(*by, "_range", *[
         F.coalesce(F.sum("_t_" + c).over(w_tot), F.lit(0)).alias("_o_" + c)
         for c in sum_cols])
-    # the offsets table has one row per (group, range): bounded by the range
-    # count when there are no groups, so it is broadcast; with groups, the
-    # join strategy is left to the planner
-    joined = (bucketed.join(F.broadcast(offsets), [*by, "_bkt"]) if not by
-              else bucketed.join(offsets, [*by, "_bkt"]))
-    w_in = (Window.partitionBy(*by, "_bkt").orderBy(order_col)
+    w_in = (Window.partitionBy(*by, "_range").orderBy(order_col)
             .rowsBetween(Window.unboundedPreceding, -1))
-    out = joined.select(
+    return ranged.join(offsets, [*by, "_range"]).select(
         *df.columns,
-        *[(F.col("_o_" + c) + F.coalesce(F.sum(c).over(w_in), F.lit(0)))
-          .alias(c + suffix) for c in sum_cols])
-    return out
+        *[(F.col("_o_" + c) + F.coalesce(F.sum(c).over(w_in), F.lit(0))).alias(c + suffix) for c in sum_cols])
+
+
+def ranks(df: DataFrame, order: list[Column], col: str, rows_per_range: int = ROWS_A_RANGE) -> DataFrame:
+    """``df`` with ``col``, the place of each row (from 0) in ``order`` (distinct, all told): the rows of the
+    ranges before, plus the place inside its range."""
+    ranged = in_ranges(df, order, rows_per_range)
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.join(offsets, "_range").select(*df.columns, (F.col("_o") + place - 1).alias(col))

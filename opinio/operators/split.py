@@ -20,16 +20,11 @@ def split_label(key_col: str, weights=(60, 30, 10), names=SPLITS,
     or retries, so it survives executor loss and re-reads."""
     if sum(weights) != buckets:
         raise ValueError("weights must add up to the bucket count")
-    b = hash_bucket(key_col, buckets)
-    expr = None
-    upper = 0
-    for w, name in zip(weights[:-1], names[:-1]):
-        upper += w
-        expr = (F.when(b < upper, F.lit(name)) if expr is None
-                else expr.when(b < upper, F.lit(name)))
-    expr = expr.otherwise(F.lit(names[-1]))
     # a NULL key has no bucket: silently sending it to one split would be wrong
-    return F.when(b.isNull(), F.raise_error(F.lit(f"split key {key_col} is NULL"))).otherwise(expr)
+    key = F.coalesce(F.col(key_col).cast("string"), F.raise_error(F.lit(f"split key {key_col} is NULL")).cast("string"))
+    # one lookup by bucket, so that the digest is worked out once a row
+    named = F.array(*[F.lit(n) for w, n in zip(weights, names) for _ in range(w)])
+    return F.get(named, hash_bucket(key, buckets))
 
 
 def hash_split(df: DataFrame, key_col: str, weights=(60, 30, 10),

@@ -23,7 +23,7 @@ from pyspark.ml.feature import (
     StopWordsRemover,
     Tokenizer,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinio.functions.columns import letter_tokens, whitespace_tokens
@@ -87,7 +87,8 @@ def term_counts(words: DataFrame, doc: str, word: str = "word",
 
 def vocabulary(counts: DataFrame, word: str = "word", n: str = "n",
                min_df: float = MIN_DF, vocab_size: int | None = None,
-               n_docs: int | None = None, indexed: bool = True) -> DataFrame:
+               n_docs: int | None = None, indexed: bool = True,
+               rows_per_range: int = 20_000) -> DataFrame:
     """Words with document frequency >= minDF (a fraction of ``n_docs`` when
     < 1): ``(word, doc_freq, term_count)`` and, when ``indexed``,
     ``term_index`` (rank by total count, ties by word). With ``vocab_size``
@@ -97,11 +98,11 @@ def vocabulary(counts: DataFrame, word: str = "word", n: str = "n",
     per word: a word in a third of all documents is a partial-aggregated
     group, not a skewed task.
 
-    No global sort: a word's rank is the number of words with a larger
-    count (prefix sums over the histogram of counts) plus its place among
-    the words of the same count.
+    No global sort: the words are counted once and landed, cut into ranges of (count, word) of bounded size,
+    and ranked inside their range (``aggregate.ranks``); words of one count, however many,
+    are spread over several ranges.
     """
-    from opinio.operators.aggregate import prefix_sums
+    from opinio.operators.aggregate import ranks
 
     stats = counts.groupBy(word).agg(
         F.count(F.lit(1)).alias("doc_freq"),
@@ -110,13 +111,7 @@ def vocabulary(counts: DataFrame, word: str = "word", n: str = "n",
     kept = stats.where(F.col("doc_freq") >= F.lit(threshold))
     if not indexed and vocab_size is None:
         return kept
-    hist = (kept.groupBy("term_count").agg(F.count(F.lit(1)).alias("n_words"))
-            .withColumn("_neg", -F.col("term_count").cast("double")))
-    before = prefix_sums(hist, "_neg", ["n_words"]).select("term_count", "n_words_before")
-    place = F.row_number().over(Window.partitionBy("term_count").orderBy(F.asc(word)))
-    ranked = (kept.join(before, "term_count")
-              .select(word, "doc_freq", "term_count",
-                      (F.col("n_words_before") + place - 1).alias("term_index")))
+    ranked = ranks(kept, [F.desc("term_count"), F.asc(word)], "term_index", rows_per_range)
     return ranked if vocab_size is None else ranked.where(F.col("term_index") < vocab_size)
 
 

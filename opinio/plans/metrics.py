@@ -7,12 +7,11 @@ distributed prefix sums (no global sort into a single task).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinio.functions.columns import match_flag
-from opinio.operators.aggregate import prefix_sums
+from opinio.operators.aggregate import ROWS_A_RANGE, prefix_sums
 
 
 def mse(df: DataFrame, prediction: str = "prediction", label: str = "label",
@@ -29,7 +28,7 @@ def accuracy(df: DataFrame, prediction: str = "prediction",
 
 
 def area_under_roc(df: DataFrame, score: str, label: str,
-                   by: list[str] | None = None, buckets: int | None = None,
+                   by: list[str] | None = None, rows_per_range: int = ROWS_A_RANGE,
                    alias: str = "auc") -> DataFrame:
     """Probability that a random positive outscores a random negative, ties
     counting one half (= trapezoidal ROC area over distinct scores, as
@@ -46,9 +45,7 @@ def area_under_roc(df: DataFrame, score: str, label: str,
         *by, F.col(score).cast("double").alias("_score")).agg(
         F.sum((y == 1).cast("long")).alias("pos"),
         F.sum((y == 0).cast("long")).alias("neg"))
-    # reused by the quantile pass and the final pass: keep it
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-    ps = prefix_sums(counts, "_score", ["neg"], by=by, buckets=buckets)
+    ps = prefix_sums(counts, "_score", ["neg"], by=by, rows_per_range=rows_per_range)
     area = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") * 0.5))
     return ps.groupBy(*by).agg(
         F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias(alias))

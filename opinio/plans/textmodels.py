@@ -3,8 +3,8 @@ report (E6).
 
 The TF-IDF features are fitted once (on the training split by default, or
 on all reviews to reproduce the reference's first model) and persisted;
-the parameter grid then only refits the logistic regression, concurrently,
-over the same cached vectors. Grid points that are the same model
+the parameter grid then only refits the logistic regression, all grid points in one job an
+iteration (``gridfit``), over the same vectors. Grid points that are the same model
 (regParam 0 with any elastic-net mix) are fitted once and reported for
 each grid point. All grid models are scored in ONE pass over the
 validation rows.
@@ -12,8 +12,6 @@ validation rows.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -25,6 +23,7 @@ from opinio.functions.columns import match_flag
 from opinio.operators.aggregate import mean_with_error
 from opinio.operators.partition import persist_for_iterations
 from opinio.operators.text import MIN_DF, VOCAB_SIZE, fitted_vocabulary, tfidf_estimator
+from opinio.plans.gridfit import fit_grid
 
 
 def featurize(fit_df: DataFrame, apply_df: DataFrame, text: str,
@@ -92,22 +91,14 @@ GRID_SCHEMA = T.StructType([
 
 def grid_search(spark: SparkSession, train: DataFrame, validation: DataFrame,
                 label: str, reg_params: list[float], elastic_nets: list[float],
-                max_iter: int = 100, parallelism: int | None = None):
-    """Fit every grid point (regParam-major order), score all on the
-    validation rows in one pass. Returns (results DataFrame, models by grid
+                max_iter: int = 100):
+    """Fit every grid point (regParam-major order; all at once, one job an iteration), score all on
+    the validation rows in one pass. Returns (results DataFrame, models by grid
     index)."""
     grid = [(r, e) for r in reg_params for e in elastic_nets]
     distinct = sorted({effective_key(r, e) for r, e in grid})
 
-    def fit(key):
-        return key, logreg(label, key[0], key[1], max_iter).fit(train)
-
-    # concurrent fits: each iteration of one fit is a short job, so several
-    # fits keep the cluster busy (as CrossValidator's ``parallelism``)
-    workers = parallelism or len(distinct)
-    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        fitted = dict(pool.map(fit, distinct))
-
+    fitted = dict(zip(distinct, fit_grid(train, label, distinct, max_iter)))
     scored = validation
     for j, key in enumerate(distinct):
         m = fitted[key].copy()

@@ -176,7 +176,7 @@ def test_e3_auc_ties_and_buckets(spark):
     neg = [s for s, y in rows if not y]
     exact = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     for b in (1, 3, 64):
-        assert M.area_under_roc(df, "s", "y", buckets=b).first().auc == pytest.approx(exact)
+        assert M.area_under_roc(df, "s", "y", rows_per_range=b).first().auc == pytest.approx(exact)
 
 
 def test_g6_zero_weights(spark):
