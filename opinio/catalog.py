@@ -563,10 +563,10 @@ def q_standardize(spark, d):
                       *[r6("z_" + c).alias("z_" + c) for c in FEATURES])
 
 
-@query("ols_coefficients", O.ols_coefficients_sql(RUNS[7][0], "train"))
+@query("ols_coefficients", O.ols_coefficients_sql(RUNS[0][0], "train"))
 def q_ols_coefficients(spark, d):
     f = _filled_ratings(spark, d)
-    feats = RUNS[7][0]
+    feats = RUNS[0][0]
     model = RG.fit_ols(f.where(F.col("split") == "train"), feats, "label")
     tab = RG.coefficient_table(spark, model, feats)
     return tab.select("column", significant("weight").alias("weight"))

@@ -32,40 +32,14 @@ RATING_FEATURES = (
     "l_linenumber", "o_totalprice", "p_size", "p_retailprice",
 )
 
-# OLS runs on the ratings view: its own columns, in as many runs as the airline layout has.
-RATING_OLS_RUNS = (
-    (("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "o_totalprice",
-      "p_size", "p_retailprice"),
-     "train", "validation"),
-    (("l_extendedprice", "l_discount", "l_tax", "l_linenumber", "p_retailprice"),
-     "train", "validation"),
-    (("l_extendedprice", "l_discount", "l_tax", "l_linenumber", "o_totalprice", "p_size",
-      "p_retailprice"),
-     "train", "validation"),
-    (("l_discount", "l_tax", "l_linenumber", "o_totalprice", "p_size", "p_retailprice"),
-     "validation", "train"),
-    (("l_tax", "l_linenumber", "p_retailprice"),
-     "train", "validation"),
-    (("l_quantity", "p_retailprice"),
-     "train", "validation"),
-    (("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "o_totalprice",
-      "p_size", "p_retailprice"),
-     "train", "train"),
-    (("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "o_totalprice",
-      "p_size", "p_retailprice"),
-     "train", "validation"),
-    (("l_quantity", "l_discount", "l_tax", "l_linenumber", "o_totalprice", "p_size",
-      "p_retailprice"),
-     "train", "validation"),
-    (("l_quantity", "l_discount", "l_tax", "o_totalprice", "p_size", "p_retailprice"),
-     "train", "validation"),
-    (("l_quantity", "l_discount", "o_totalprice", "p_size", "p_retailprice"),
-     "train", "validation"),
-    (("l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"),
-     "train", "validation"),
-    (("l_quantity", "l_discount", "p_size", "p_retailprice"),
-     "train", "validation"),
-)
+def _ols_runs(features: tuple[str, ...]) -> tuple:
+    """What each column of the view adds: all columns, each left out, and the columns taken up one by one."""
+    subsets = [features, *(tuple(f for f in features if f != out) for out in features),
+               *(features[:k] for k in range(1, len(features)))]
+    return tuple((subset, "train", "validation") for subset in dict.fromkeys(subsets))
+
+
+RATING_OLS_RUNS = _ols_runs(RATING_FEATURES)
 
 REVIEWS = ReviewSpec(entity_col="source", text_col="text",
                      label_col="quality", key_col="doc_id")
