@@ -24,6 +24,18 @@ def worker_cache() -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
 
 
+def trim() -> None:
+    """Give memory that finished work has freed back to the system (Python workers live on)."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 ship(__name__)
 
 
@@ -67,6 +79,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def bundled(df: DataFrame, *outside: str) -> Column:
+    """All columns of ``df`` but ``outside`` as one struct, so that no name can clash with those an operator uses."""
+    return F.struct(*[df[f"`{c}`"] for c in df.columns if c not in outside]) if set(df.columns) - set(outside) \
+        else F.struct(F.lit(None).cast("int").alias("none"))
+
+
 def in_blocks(df: DataFrame, group: str, node: str, block_rows: int) -> DataFrame:
     """Cut groups larger than ``block_rows`` into blocks and deal every pair of
     blocks of a group to a task of its own.

@@ -10,6 +10,8 @@ the dense answer follows exactly:
   equals) is the window's anchor. Equal windows have their anchor at the same
   offset, so a repeated window shows as a repeated anchor substring; anchors
   whose substring occurs once cannot matter and stay behind.
+* Equal texts. Texts that are equal as a whole are repeated throughout; they are found by their digests,
+  and one of each goes on, so a group of copies, however large, is one text to the sort.
 * Runs. Each task takes the suffixes (``length`` bytes) at its documents'
   anchors, sorts them, and hands them on front-coded: the length of the prefix
   shared with the suffix before, and the rest. Runs are dealt by ranges of
@@ -27,6 +29,9 @@ group into one range; its windows are counted by a grouped aggregation over
 128-bit window digests instead, which combines before the shuffle and splits
 (exact, without any cap).
 
+Texts lie together in blocks cut by bytes; a very long text is a block of its own and is searched in slices that
+overlap, as one text.
+
 Edge cases. NULL or empty text: no bytes, nothing removed. Texts shorter than
 ``length`` are kept. Repeated rows remove each other. NULL doc_ids are carried
 through: rows are told apart by an internal number. An empty table gives an
@@ -36,6 +41,7 @@ empty result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -43,12 +49,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, StructType
 from pyspark.sql.window import Window
 
-from opinio.llm.common import land, mix64, ship, table, width, worker_cache
+from opinio.llm.common import bundled, land, mix64, ship, table, trim, width, worker_cache
 
 ship(__name__)
 
@@ -56,6 +63,10 @@ LENGTH = 200
 RANGE_ROWS = 60_000  # suffixes a range is meant to hold
 HOT = RANGE_ROWS  # a substring that would fill a range alone goes the other way
 BLOCK_BITS = 11
+BLOCK_BYTES = 16 << 20
+MOST_CUTS = 4096  # ranges are cut at so many places at most; each is dealt on by the anchor's hash
+SAMPLED_KEYS = 512  # one anchor string in so many helps to find the cuts
+SAMPLED_CUTS = 16  # strings a cut
 SLICE = 1 << 20
 _R = np.uint64(0x9E3779B97F4A7C15)
 _R_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -224,18 +235,37 @@ def repeated_windows(shared: np.ndarray, lefts: list[bytes], length: int) -> np.
 
 
 def stored(docs: DataFrame, text_col: str) -> DataFrame:
-    """All columns but the text, with rid (number of the row), block (2048 rows
-    that lie together), z (the text's UTF-8 bytes, compressed) and _null (text
-    was NULL), written once."""
-
-    @F.pandas_udf("binary")
-    def press(texts: pd.Series) -> pd.Series:
-        c = zstandard.ZstdCompressor(level=3)
-        return pd.Series([c.compress((t or "").encode("utf-8", "surrogatepass")) for t in texts])
-
+    """All columns but the text, with rid (number of the row), block (rows that lie together: at most 2048,
+    and at most BLOCK_BYTES of text unless it is a single row), z (the text's UTF-8 bytes, compressed) and
+    _null (text was NULL), written once. The block is the rid without its last BLOCK_BITS bits."""
     rest = [c for c in docs.columns if c != text_col]
-    rows = docs.select(*rest, F.monotonically_increasing_id().alias("rid"), F.col(text_col).isNull().alias("_null"),
-                       press(text_col).alias("z"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        block, place, size = TaskContext.get().partitionId() << (33 - BLOCK_BITS), 0, 0
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                some = batch.slice(lo, 500)
+                rid, z, size_of, digest, null = [], [], [], [], []
+                for t in some[text_col].to_pylist():
+                    raw = (t or "").encode("utf-8", "surrogatepass")
+                    if place and (place >> BLOCK_BITS or size + len(raw) > BLOCK_BYTES):
+                        block, place, size = block + 1, 0, 0
+                    rid.append(block << BLOCK_BITS | place)
+                    z.append(press.compress(raw))
+                    size_of.append(len(raw))
+                    digest.append(hashlib.blake2b(raw, digest_size=16).digest())
+                    null.append(t is None)
+                    place, size = place + 1, size + len(raw)
+                yield pa.RecordBatch.from_arrays(
+                    [*[some[c] for c in rest], pa.array(rid, pa.int64()), pa.array(null, pa.bool_()), pa.array(z, pa.binary()),
+                     pa.array(size_of, pa.int64()), pa.array(digest, pa.binary())],
+                    [*rest, "rid", "_null", "z", "size", "digest"])
+        trim()
+
+    schema = StructType([docs.schema[c] for c in rest]).add("rid", LongType()).add("_null", BooleanType()).add("z", BinaryType()) \
+        .add("size", LongType()).add("digest", BinaryType())
+    rows = docs.select(*rest, text_col).mapInArrow(pack, schema)
     return land(rows.withColumn("block", F.shiftright("rid", BLOCK_BITS)), "suffix-rows")
 
 
@@ -263,36 +293,47 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     spark = rows.sparkSession
     k = anchor_len(length)
 
+    # texts that are equal as a whole (and long enough) are repeated throughout; one of each goes on, for others
+    # may repeat parts of it
+    equal = rows.where(F.col("size") >= length).groupBy("digest").agg(F.min("rid").alias("one"), F.count(F.lit(1)).alias("n")) \
+        .where("n > 1").select("digest", "one")
+    copies = land(rows.select("rid", "block", "size", "digest").join(equal, "digest").drop("digest"), "suffix-copies")
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rid, _, keys = find_anchors(batch["rid"].to_numpy(), _unpack(batch["z"]), length)
+            texts = _unpack(batch["z"])
+            rid, at, keys = find_anchors(batch["rid"].to_numpy(), texts, length)
+            text_of = dict(zip(batch["rid"], texts))
             block = rid >> BLOCK_BITS
             for x in np.unique(block):
-                key, n = np.unique(keys[block == x], return_counts=True)
-                yield pd.DataFrame({"key": key, "block": x, "n": n})
+                mine = np.flatnonzero(block == x)
+                key, first, n = np.unique(keys[mine], return_index=True, return_counts=True)
+                some = (key % SAMPLED_KEYS) == 0
+                strings = [text_of[r][p:p + k] if s else None for s, r, p in
+                           zip(some.tolist(), rid[mine][first].tolist(), at[mine][first].tolist())]
+                yield pd.DataFrame({"key": key, "block": x, "n": n, "s": strings})
+        trim()
 
     # at most one row per block and substring crosses the network, so a substring
     # of a third of all rows is a row per block; those that occur once end here
-    counted = rows.select("rid", "z").mapInPandas(count, "key bigint, block bigint, n bigint")
+    counted = rows.select("rid", "z").mapInPandas(count, "key bigint, block bigint, n bigint, s binary")
     over = Window.partitionBy("key")
     chosen = land(counted.withColumn("all", F.sum("n").over(over)).where("all > 1")
-                  .select("block", "key", (F.col("all") > hot).alias("hot"), "n"), "suffix-chosen")
+                  .select("block", "key", (F.col("all") > hot).alias("hot"), "n", "s"), "suffix-chosen")
 
-    # ranges of the first k bytes, from a bounded sample of documents
-    total, many = int(chosen.agg(F.sum("n")).first()[0] or 0), rows.count()
+    # ranges of the first k bytes, cut at a sample of the chosen strings themselves; past MOST_CUTS ranges each is dealt
+    # on by a hash of these bytes, so the number of parts grows with the data and the cuts stay few
+    total = int(chosen.agg(F.sum("n")).first()[0] or 0)
     parts = max(width(spark), -(-total // RANGE_ROWS))
-
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            got = []
-            for rid, raw in zip(batch["rid"], _unpack(batch["z"])):
-                for x in np.random.default_rng(rid).integers(0, max(1, len(raw) - k + 1), 1 + min(15, len(raw) // 400)):
-                    got.append(raw[x:x + k])
-            yield pd.DataFrame({"s": got})
-
-    sample = sorted(r.s for r in rows.select("rid", "z").sample(min(1.0, 1500 / max(1, many)), seed=5)
-                    .mapInPandas(draw, "s binary").collect())
-    cuts = [bytes(sample[len(sample) * i // parts]) for i in range(1, parts)] if sample else []
+    ranges = min(parts, MOST_CUTS)
+    deal = -(-parts // ranges)
+    drawn = chosen.where("s is not null and not hot").groupBy("s").agg(F.sum("n").alias("n"))
+    many = drawn.count()
+    keep = min(1.0, ranges * SAMPLED_CUTS * 4 / max(1, many))
+    drawn = sorted((bytes(r.s), r.n) for r in drawn.where(F.pmod(F.xxhash64("s"), F.lit(1 << 30)) < F.lit(keep) * (1 << 30)).collect())
+    weight = np.cumsum([n for _, n in drawn]) if drawn else np.zeros(0)
+    at_cuts = np.searchsorted(weight, [weight[-1] * i / ranges for i in range(1, ranges)]) if drawn else []
+    cuts = [drawn[i][0] for i in sorted(set(at_cuts))]
 
     def at_chosen(docs_of: pd.DataFrame, keys_of: pd.DataFrame):
         """(rid, place, text) at the chosen anchors of a block, each once."""
@@ -300,10 +341,11 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
             return
         texts = _unpack(docs_of["z"])
         rids = docs_of["rid"].to_numpy()
-        rid, at, keys = find_anchors(rids, texts, length)
-        mine = np.isin(keys, keys_of["key"].to_numpy())
+        rids_at, at, keys = find_anchors(rids, texts, length)
+        value, gone = keys_of["key"].to_numpy(), keys_of["gone"].to_numpy(bool)
+        mine = np.isin(keys, value[~gone]) & ~np.isin(rids_at, value[gone])
         text_of = dict(zip(rids.tolist(), texts))
-        for r, x in sorted(set(zip(rid[mine].tolist(), at[mine].tolist()))):
+        for r, x in sorted(set(zip(rids_at[mine].tolist(), at[mine].tolist()))):
             yield r, x, text_of[r]
 
     def sort_runs(docs_of: pd.DataFrame, keys_of: pd.DataFrame) -> pd.DataFrame:
@@ -313,16 +355,22 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
         firsts = [s[0][:k] for s in held]
         ends = [bisect_left(firsts, c) for c in cuts] + [len(held)]
         out, lo = [], 0
-        for part, hi in enumerate(ends):
-            if hi > lo:
-                some = held[lo:hi]
+        for place, hi in enumerate(ends):
+            dealt = {0: held[lo:hi]} if hi > lo else {}
+            if deal > 1:
+                dealt = {}
+                for s in held[lo:hi]:
+                    dealt.setdefault(zlib.crc32(s[0][:k]) % deal, []).append(s)
+            for rest_of, some in dealt.items():
+                part = place * deal + rest_of
                 shared, rest = front_code([s[0] for s in some])
                 out.append((part, shared.tobytes(), np.array([len(x) for x in rest], np.uint16).tobytes(),
                             np.array([len(s[1]) for s in some], np.uint16).tobytes(),
                             press.compress(b"".join(rest) + b"".join([s[1] for s in some])),
                             np.array([s[2] for s in some], np.int64).tobytes(),
                             np.array([s[3] for s in some], np.int64).tobytes()))
-                lo = hi
+            lo = hi
+        trim()
         return pd.DataFrame(out, columns=["part", "shared", "rest", "left", "z", "rid", "at"])
 
     def merge_range(group: pd.DataFrame) -> pd.DataFrame:
@@ -354,10 +402,17 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
         _, end = np.nonzero(edge == -1)  # one past the last d of the run of windows
         return pd.DataFrame({"rid": rid[row], "lo": at[row] - (end - 1), "hi": at[row] - first + length})
 
-    blocks = rows.groupBy("block")
-    runs = blocks.cogroup(chosen.where("not hot").select("block", "key").groupBy("block")).applyInPandas(
+    blocks = rows.select("rid", "block", "z").groupBy("block")
+    gone = copies.where("rid != one").select("block", "rid", F.lit(True))
+
+    def keys_by_block(which: str):
+        """The chosen anchors of each block, and the rows left out (``gone``: key is a rid)."""
+        return chosen.where(which).select("block", "key", F.lit(False).alias("gone")).union(gone).groupBy("block")
+
+    runs = blocks.cogroup(keys_by_block("not hot")).applyInPandas(
         sort_runs, "part int, shared binary, rest binary, left binary, z binary, rid binary, at binary")
-    spans = runs.groupBy("part").applyInPandas(merge_range, "rid bigint, lo bigint, hi bigint")
+    spans = runs.groupBy("part").applyInPandas(merge_range, "rid bigint, lo bigint, hi bigint").union(
+        copies.select("rid", F.lit(0).cast("bigint").alias("lo"), F.col("size").alias("hi")))
 
     if not chosen.where("hot").isEmpty():
         def windows(docs_of: pd.DataFrame, keys_of: pd.DataFrame) -> pd.DataFrame:
@@ -368,7 +423,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
                                  "rid": [r for r, _ in los], "lo": [lo for _, lo in los]})
 
         # equal windows have equal anchors, so a window at a hot anchor only meets others at that anchor
-        each = land(blocks.cogroup(chosen.where("hot").select("block", "key").groupBy("block")).applyInPandas(
+        each = land(blocks.cogroup(keys_by_block("hot")).applyInPandas(
             windows, "w binary, rid bigint, lo bigint"), "suffix-windows")
         many_times = each.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w")
         spans = spans.union(each.join(many_times, "w").select("rid", "lo", (F.col("lo") + length).alias("hi")))
@@ -421,7 +476,7 @@ def _finish(rows: DataFrame, spans: DataFrame, keep: list[str]) -> DataFrame:
         schema = schema.add(name, LongType())
     schema = schema.add("kept_sha256", StringType()).add("kept", StringType())
     by_block = spans.select(F.shiftright("rid", BLOCK_BITS).alias("block"), "rid", "lo", "hi").groupBy("block")
-    return rows.groupBy("block").cogroup(by_block).applyInArrow(finish, schema)
+    return rows.select(*keep, "rid", "block", "z").groupBy("block").cogroup(by_block).applyInArrow(finish, schema)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -434,14 +489,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def cut_texts(docs: DataFrame, text_col: str = "text", length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """``docs`` (``n_chars`` renewed, where there is one) without the repeated
     passages; rows of which nothing is left go, rows that were empty stay."""
-    # the row travels as one struct, so no column's name can clash with those used here
-    rows = stored(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text")), "text")
+    # the rest of the row travels as one struct, so no column's name can clash with those used here, and the text once
+    rows = stored(docs.select(bundled(docs, text_col).alias("row"), F.col(text_col).alias("text")), "text")
     out = _finish(rows, repeated_spans(rows, length, hot), ["row", "_null"]).where("n_removed = 0 or kept != ''")
     value = {text_col: F.when(~F.col("_null"), F.col("kept"))}
     if "n_chars" in docs.columns:
         value["n_chars"] = F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length("kept")) \
             .cast(docs.schema["n_chars"].dataType)
-    return out.select(*[value.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+    return out.select(*[value[c].alias(c) if c in value else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op6_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
