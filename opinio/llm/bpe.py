@@ -2,15 +2,16 @@
 
 1. Every task splits the words of its documents (at places where the
    tokeniser itself always cuts) and hands on each block's distinct words;
-   a block is about 32 MB of text of one input partition.
-2. The (word, block, place) rows are shuffled by word; each distinct word is
+   a block is about 16 MB of text of one input partition. The words go out in sorted lists, one for each
+   of BUCKETS hash values, compressed: a row a block and bucket.
+2. The lists are shuffled by bucket and read in its order; each distinct word of a bucket is
    encoded once, whatever number of blocks holds it.
-3. The ids go back by block and place, where they meet the block's
+3. The ids go back as lists of the same order, by block, where they meet the block's
    documents: ids of the document = ids of its words in order. Decoding joins
    the ids of each of the block's words with the id-to-piece table (50,257 rows, a
    fixed bound) and puts the pieces together.
 
-No row exists per word occurrence and documents travel once, compressed.
+No row exists per word occurrence and documents travel once, compressed, a very long one as a block of its own.
 Should a block be formed differently on a second reading (an input without a
 stable order), its unknown words are encoded on the spot, so the result stays
 exact.
@@ -24,6 +25,7 @@ empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +40,9 @@ from opinio.llm.tokens import default_path, encode_words, once, piece_bytes, tex
 
 ship(__name__)
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
+BUCKETS = 1024
+MOST_WORDS = 1_000_000  # words an encoding task remembers at once
 
 
 def _in_blocks(batches: Iterator[pd.DataFrame], block_bytes: int) -> Iterator[tuple[int, list, list]]:
@@ -64,6 +68,27 @@ def _words(texts: list) -> list[str]:
     return sorted(seen)
 
 
+def _bucketed(words: list[str]) -> dict[int, list[int]]:
+    """bucket -> places in ``words`` (sorted) of its words."""
+    out: dict[int, list[int]] = {}
+    for k, w in enumerate(words):
+        out.setdefault(zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS, []).append(k)
+    return out
+
+
+def _packed(parts: list[bytes], press) -> bytes:
+    """Byte strings as one compressed string."""
+    sizes = np.array([len(p) for p in parts], "<u4")
+    return press.compress(np.array([len(parts)], "<u4").tobytes() + sizes.tobytes() + b"".join(parts))
+
+
+def _unpacked(z: bytes, unpack) -> list[bytes]:
+    raw = unpack.decompress(z)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    ends = (4 + 4 * n + np.cumsum(np.frombuffer(raw, "<u4", n, 4))).tolist()
+    return [raw[a:b] for a, b in zip([4 + 4 * n, *ends], ends)]
+
+
 def _lookups(words: list[str], raw_of: list[bytes | None], path: str) -> tuple[dict[str, str], dict[str, bytes]]:
     """word -> its ids, each followed by a comma; word -> its decoded bytes."""
     def encoded(some: list[str]) -> list[bytes]:
@@ -109,24 +134,29 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        press = zstandard.ZstdCompressor(level=3)
         for block, _, texts in _in_blocks(batches, block_bytes):
             found = _words(texts)
-            for lo in range(0, len(found), 50_000):
-                part = found[lo:lo + 50_000]
-                yield pd.DataFrame({"word": part, "block": block, "place": np.arange(lo, lo + len(part), dtype=np.int32)})
+            lists = [(b, _packed([found[k].encode("utf-8", "surrogatepass") for k in places], press))
+                     for b, places in _bucketed(found).items()]
+            yield pd.DataFrame({"bucket": [b for b, _ in lists], "block": block, "z": [z for _, z in lists]})
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last: tuple[str, bytes] | None = None
+        press, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
         narrow = len(piece_bytes(path)) <= 1 << 16
+        known: dict[bytes, bytes] = {}
+        last = None
         for batch in batches:
-            which, distinct = pd.factorize(batch["word"])
-            known = last is not None and len(distinct) > 0 and distinct[0] == last[0]
-            fresh = [str(w) for w in distinct[known:]]
-            raw = ([last[1]] if known else []) + [x.astype("<u2").tobytes() if narrow else b"\xff" + x.tobytes()
-                                                  for x in encode_words(fresh, path)]
-            if len(raw):
-                last = str(distinct[-1]), raw[-1]
-            yield pd.DataFrame({"block": batch["block"], "place": batch["place"], "ids": [raw[k] for k in which]})
+            out = []
+            for bucket, z in zip(batch["bucket"], batch["z"]):
+                if bucket != last or len(known) > MOST_WORDS:
+                    known, last = {}, bucket
+                some = _unpacked(z, unpack)
+                fresh = [w for w in some if w not in known]
+                for w, x in zip(fresh, encode_words([w.decode("utf-8", "surrogatepass") for w in fresh], path)):
+                    known[w] = x.astype("<u2").tobytes() if narrow else b"\xff" + x.tobytes()
+                out.append(_packed([known[w] for w in some], press))
+            yield pd.DataFrame({"block": batch["block"], "bucket": batch["bucket"], "z": out})
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # one row a block, with matches over its whole length: copies lie far apart
@@ -152,9 +182,12 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 at += size
         found = sorted(same)
         raw_of: list[bytes | None] = [None] * len(found)
-        for place, raw in zip(words_of["place"], words_of["ids"]):
-            if place < len(found):
-                raw_of[place] = raw
+        places_of = _bucketed(found)
+        for bucket, z in zip(words_of["bucket"], words_of["z"]):
+            raws, places = _unpacked(z, unpack), places_of.get(bucket, [])
+            if len(raws) == len(places):
+                for k, raw in zip(places, raws):
+                    raw_of[k] = raw
         ids_of, bytes_of = _lookups(found, raw_of, path)
         out = []
         for i, split in zip(ids, held):
@@ -168,9 +201,9 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         frame["id"] = frame["id"].astype("Int64")
         return frame
 
-    by_word = src.mapInPandas(words, "word string, block bigint, place int") \
-        .repartition("word").sortWithinPartitions("word")
-    by_block = by_word.mapInPandas(encode, "block bigint, place int, ids binary").groupBy("block")
+    by_bucket = src.mapInPandas(words, "bucket int, block bigint, z binary") \
+        .repartition("bucket").sortWithinPartitions("bucket")
+    by_block = by_bucket.mapInPandas(encode, "block bigint, bucket int, z binary").groupBy("block")
     packed = src.mapInPandas(texts, "block bigint, id array<bigint>, size array<int>, z binary").groupBy("block")
     out = packed.cogroup(by_block).applyInPandas(
         assemble, "id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids array<int>, decoded string")

@@ -20,8 +20,9 @@ A row is rejected (``accepted`` false) when its text holds no letter or no langu
 
 Edge cases. NULL or empty text: no text evidence, rejected. Missing
 declared value, suffix or host: that evidence is left out. Repeated rows count
-each. With no labelled row at all every row is rejected with a NULL language.
-An empty table gives an empty result; extra columns are kept.
+each. Texts of any length are read whole. Of equally probable languages the first by name is given.
+With no labelled row at all every row is rejected with a NULL language.
+An empty table gives an empty result; extra columns are kept, whatever their names, but for the three of the result.
 """
 
 from __future__ import annotations
@@ -30,16 +31,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinio.llm.common import land, ship, table
+from opinio.llm.common import bundled, land, ship, table, trim
 
 ship(__name__)
 
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 1500
-SAMPLE_CHARS = 4000
 MOST_LANGUAGES = 200
 TEMPER = 0.3
 SMOOTH = 20.0
@@ -69,9 +70,9 @@ class TextModel:
 
 
 def fit_text(rows: DataFrame, text_col: str, lang_col: str, sample_rows: int = SAMPLE_ROWS) -> TextModel:
-    """Per-language 3-gram model from about ``sample_rows`` distinct texts of each
-    language, of each a span of at most SAMPLE_CHARS characters at a place drawn by its
-    hash. More than MOST_LANGUAGES languages raise a ValueError: none is left out."""
+    """Per-language 3-gram model from about ``sample_rows`` distinct whole texts of each
+    language, drawn by their hash and counted on the executors. More than MOST_LANGUAGES languages raise a
+    ValueError: none is left out."""
     known = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     count = {r[0]: r[1] for r in known.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02))
@@ -83,18 +84,30 @@ def fit_text(rows: DataFrame, text_col: str, lang_col: str, sample_rows: int = S
     rate = F.create_map(*[x for lang, n in count.items() for x in (F.lit(lang), F.lit(min(1.0, sample_rows / max(1, n))))])
     # by text and language, so that copies of a text count once in each language
     draw = F.pmod(F.xxhash64("text", "lang", F.lit(13)), F.lit(1 << 20)) < F.element_at(rate, F.col("lang")) * F.lit(1 << 20)
-    start = F.pmod(F.xxhash64("text", F.lit(17)), F.greatest(F.lit(1), F.length("text") - F.lit(SAMPLE_CHARS - 1))) + F.lit(1)
-    drawn = known.where(draw).select("lang", F.xxhash64("text").alias("key"), F.md5("text").alias("digest"),
-                                     F.substring(F.col("text"), start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"))
+    drawn = known.where(draw).select("lang", F.xxhash64("text").alias("key"), F.md5("text").alias("digest"), "text")
     drawn = drawn.dropDuplicates(["lang", "key", "digest"]).select("lang", "text")
     langs = sorted(count)
-    held = {lang: np.ones(BUCKETS) * 0.05 for lang in langs}
-    for r in drawn.collect():
-        raw = np.frombuffer((r.text or "").lower().encode("utf-8", "surrogatepass"), np.uint8)
-        if len(raw) > 2:
-            held[r.lang] += np.bincount(grams(raw), minlength=BUCKETS)
-    logp = np.stack([np.log(held[x] / held[x].sum()) for x in langs], 1).astype(np.float32)
-    return TextModel(langs, logp)
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
+                raw = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
+                mine = held.setdefault(lang, np.zeros(BUCKETS, np.int64))
+                for lo in range(0, len(raw) - 2, 1 << 20):
+                    mine += np.bincount(grams(raw[lo:lo + (1 << 20) + 2]), minlength=BUCKETS)
+        for lang, mine in held.items():
+            slot = np.flatnonzero(mine)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(slot), pa.string()), pa.array(slot, pa.int32()),
+                                              pa.array(mine[slot])], ["lang", "slot", "n"])
+
+    summed = (drawn.mapInArrow(counts, "lang string, slot int, n bigint").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+              .toArrow())
+    held = np.full((BUCKETS, len(langs)), 0.05)
+    place = {lang: k for k, lang in enumerate(langs)}
+    which = np.array([place[x] for x in summed["lang"].to_pylist()], np.int64)
+    held[summed["slot"].to_numpy(), which] += summed["n"].to_numpy()
+    return TextModel(langs, np.log(held / held.sum(0)).astype(np.float32))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -102,31 +115,47 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def identify(rows: DataFrame, model: TextModel, text_col: str, declared: Column | None = None,
-             suffix: Column | None = None, host: Column | None = None, temper: float = TEMPER, smooth: float = SMOOTH,
-             strength: float = STRENGTH, least: float = LEAST) -> DataFrame:
-    """``rows`` with ``language``, ``language_p`` (posterior) and ``accepted``."""
+RESULTS = ("language", "language_p", "accepted")
+
+
+def identify(rows: DataFrame, model: TextModel, text: str | Column, declared: Column | None = None,
+             suffix: Column | None = None, host: Column | None = None, drop: tuple[str, ...] = (), **parameters) -> DataFrame:
+    """``rows`` without the columns ``drop`` (read, but not kept), with ``language``, ``language_p`` (posterior) and
+    ``accepted``, which replace columns of these names."""
+    out = _identified(rows, model, text, declared, suffix, host, drop, **parameters)
+    kept = [F.col("row").getField(c).alias(c) for c in rows.columns if c not in (*RESULTS, *drop)]
+    return out.select(*kept, *RESULTS)
+
+
+def _identified(rows: DataFrame, model: TextModel, text: str | Column, declared: Column | None = None,
+                suffix: Column | None = None, host: Column | None = None, drop: tuple[str, ...] = (),
+                temper: float = TEMPER, smooth: float = SMOOTH,
+                strength: float = STRENGTH, least: float = LEAST) -> DataFrame:
+    """``row`` (all of a row as one struct, so that no column's name can clash with those used here) and the results."""
+    text = F.col(text) if isinstance(text, str) else text
     langs = model.langs
     if not langs:
-        return rows.withColumns({"language": F.lit(None).cast("string"), "language_p": F.lit(0.0), "accepted": F.lit(False)})
+        return rows.select(bundled(rows, *drop).alias("row"), F.lit(None).cast("string").alias("language"),
+                           F.lit(0.0).alias("language_p"), F.lit(False).alias("accepted"))
     none = F.lit(None).cast("string")
     ev = {"_declared": declared, "_suffix": suffix, "_host": host}
-    rows = rows.withColumns({k: (none if c is None else F.lower(c.cast("string"))) for k, c in ev.items()})
+    rows = rows.select(bundled(rows, *drop).alias("row"), text.alias("_text"),
+                       *[(none if c is None else F.lower(c.cast("string"))).alias(k) for k, c in ev.items()])
 
     @F.pandas_udf("array<double>")
     def loglik(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             out = temper * model.loglik(texts)
             yield pd.Series([None if not any(c.isalpha() for c in (t or "")) else r for t, r in zip(texts, out)])
+        trim()
 
     n = len(langs)
-    # evidence without the texts, kept for both the grouped counts and the decision
-    scored = rows.withColumn("_ll", loglik(text_col))
+    # the model reads every text once: rows and their evidence are written, for both the grouped counts and the decision
+    scored = land(rows.withColumn("_ll", loglik("_text")).drop("_text"), "language-scored")
     post = F.transform("_ll", lambda x: F.exp(x - F.array_max("_ll")))
     total = F.aggregate(F.col("_post"), F.lit(0.0), lambda a, x: a + x)
-    slim = land(scored.select("_declared", "_suffix", "_host", "_ll").where("_ll is not null")
-                .withColumn("_post", post).withColumn("_post", F.transform("_post", lambda x: x / total))
-                .drop("_ll"), "language-evidence")
+    slim = (scored.select("_declared", "_suffix", "_host", "_ll").where("_ll is not null")
+            .withColumn("_post", post).withColumn("_post", F.transform("_post", lambda x: x / total)).drop("_ll"))
     sums = [F.sum(F.get("_post", F.lit(k))).alias(f"s{k}") for k in range(n)]
     whole = slim.agg(F.count(F.lit(1)).alias("n"), *sums).first()
     mass = [float(whole[f"s{k}"] or 0) + 1.0 / n for k in range(n)]
@@ -171,14 +200,19 @@ def identify(rows: DataFrame, model: TextModel, text_col: str, declared: Column
     out = out.withColumn("language", F.element_at(F.array(*[F.lit(x) for x in langs]),
                                                   F.array_position("_sum", top).cast("int")))
     out = out.withColumn("accepted", F.col("_ll").isNotNull() & (F.col("language_p") >= least))
-    return out.drop("_ll", "_sum", "_prior", "_declared", "_suffix", "_host", "_declared_l", "_suffix_l")
+    return out.select("row", *RESULTS)
+
+
+def plain_text(html: str) -> Column:
+    """The text of raw markup (NULL: empty)."""
+    return F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ")
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
     """Text, declared markup language, host and address suffix (last label of
     the host) of raw pages, all by SQL functions."""
     html = F.coalesce("html", F.lit(""))
-    body = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ")
+    body = plain_text("html")
     declared = F.regexp_extract(html, r"(?i)<html[^>]*\blang\s*=\s*[\"']?([a-z]{2,3})", 1)
     host = F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1)
     blank = lambda c: F.when(c != "", F.lower(c))
@@ -190,8 +224,9 @@ def page_evidence(pages: DataFrame) -> DataFrame:
 def op9_language_id(spark, sf_dir: str) -> DataFrame:
     """Raw pages; the text model is fitted on a sample of ``documents``."""
     model = fit_text(table(spark, sf_dir, "documents"), "text", "lang")
-    pages = page_evidence(table(spark, sf_dir, "pages"))
-    return identify(pages, model, "page_text", F.col("page_declared"), F.col("page_suffix"), F.col("page_host")).select(
+    pages = page_evidence(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return identify(pages.select("page_id", "html", "page_declared", "page_suffix", "page_host"), model, plain_text("html"),
+                    F.col("page_declared"), F.col("page_suffix"), F.col("page_host"), drop=("html",)).select(
         "page_id", "language", F.round("language_p", 6).alias("language_p"), "accepted",
         F.col("page_declared").alias("declared"), F.col("page_host").alias("host"))
 
@@ -199,6 +234,5 @@ def op9_language_id(spark, sf_dir: str) -> DataFrame:
 def keep_identified(docs: DataFrame, known: DataFrame) -> DataFrame:
     """Documents whose language is identified, from their text and the prior of their source."""
     model = fit_text(known, "text", "lang")
-    # the row travels as one struct, so no column's name can clash with those used here
-    rows = docs.select(F.struct("*").alias("row"), "text", "source")
-    return identify(rows, model, "text", host=F.col("source")).where("accepted").select("row.*")
+    out = _identified(docs, model, "text", host=F.col("source")).where("accepted")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

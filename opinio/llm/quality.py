@@ -15,7 +15,8 @@ partial row per task.
 Edge cases. NULL or empty text: feature values of an empty text. NULL host
 or path: a site of its own. Repeated rows count each; NULL labels or ids never
 train. Without labelled rows of both kinds every score is the share of good labels (1
-without any). An empty table gives an empty result; extra columns are kept.
+without any). Very long texts are read whole. A posterior of exactly ``least`` is kept.
+An empty table gives an empty result; extra columns are kept, whatever their names, but for the five of the result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinio.llm.common import land, ship, table
+from opinio.llm.common import bundled, land, ship, table, trim
 from opinio.llm.toxicity import logistic
 
 ship(__name__)
@@ -85,7 +86,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for texts in batches:
             yield pd.Series([shape(t) for t in texts])
 
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(y, "id")
+    # the drawn ids are bounded by ``sample_rows``: they go to the texts, not the texts to them
+    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(y), "id")
             .select("y", features("text").alias("x")).limit(2 * sample_rows).collect())
     good = np.array([r.y for r in rows], float)
     if len(good) == 0 or good.min() == good.max():
@@ -112,17 +114,30 @@ def prior_weight(groups: DataFrame, rate: Column, n: Column, prior: Column) -> f
     return float(np.clip(float(r["within"]) / float(r["n"]) / between, 1.0, 1e4))
 
 
+RESULTS = ("doc_p", "host_rate", "path_rate", "quality_p", "keep")
+
+
 def score(docs: DataFrame, model: np.ndarray | float, host: Column, path: Column, text_col: str = "text",
-          least: float = LEAST) -> DataFrame:
-    """``docs`` with ``doc_p`` (classifier), ``host_rate``, ``path_rate``,
-    ``quality_p`` (posterior of being good) and ``keep``."""
+          least: float = LEAST, drop: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` without the columns ``drop`` (read, but not kept), with ``doc_p`` (classifier), ``host_rate``, ``path_rate``,
+    ``quality_p`` (posterior of being good) and ``keep``, which replace columns of these names."""
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in (*RESULTS, *drop)]
+    return _scored(docs, model, host, path, text_col, least, drop).select(*kept, *RESULTS)
+
+
+def _scored(docs: DataFrame, model: np.ndarray | float, host: Column, path: Column, text_col: str = "text",
+            least: float = LEAST, drop: tuple[str, ...] = ()) -> DataFrame:
+    """``row`` (all of a row as one struct, so that no column's name can clash with those used here) and the results."""
 
     @F.pandas_udf("double")
     def chance(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(_probabilities(texts, model))
+        trim()
 
-    rows = docs.withColumns({"_host": host.cast("string"), "_path": path.cast("string"), "doc_p": chance(text_col)})
+    # the model reads every text once: rows and their evidence are written, for both the site rates and the decision
+    rows = land(docs.select(bundled(docs, *drop).alias("row"), host.cast("string").alias("_host"), path.cast("string").alias("_path"),
+                            chance(text_col).alias("doc_p")), "quality-scored")
     paths = land(rows.groupBy("_host", "_path").agg(F.sum("doc_p").alias("good"), F.count(F.lit(1)).alias("n")), "quality-paths")
     hosts = paths.groupBy("_host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
     whole = hosts.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
@@ -138,7 +153,7 @@ def score(docs: DataFrame, model: np.ndarray | float, host: Column, path: Column
     logit = lambda c: F.log(safe(c) / (1 - safe(c)))
     z = logit(F.col("doc_p")) + logit(F.coalesce("path_rate", F.lit(base))) - logit(F.lit(base))
     out = out.withColumn("quality_p", 1 / (1 + F.exp(-z))).withColumn("keep", F.col("quality_p") >= least)
-    return out.drop("_host", "_path", "_h", "_p")
+    return out.select("row", *RESULTS)
 
 
 def held_out(col: str) -> Column:
@@ -150,7 +165,8 @@ def op10_eb_quality(spark, sf_dir: str) -> DataFrame:
     """Host: ``source``; path: the language section of the source."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = fit(docs, labels.where(~held_out("doc_id")))
-    return score(docs, model, F.col("source"), F.col("lang")).select(
+    docs = docs.select("doc_id", "text", "source", "lang")
+    return score(docs, model, F.col("source"), F.col("lang"), drop=("text",)).select(
         "doc_id", held_out("doc_id").alias("held_out"), F.round("doc_p", 6).alias("doc_p"),
         F.round("host_rate", 6).alias("host_rate"), F.round("path_rate", 6).alias("path_rate"),
         F.round("quality_p", 6).alias("quality_p"), "keep")
@@ -158,6 +174,5 @@ def op10_eb_quality(spark, sf_dir: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(labelled, labels)
-    # the row travels as one struct, so no column's name can clash with those used here
-    rows = docs.select(F.struct("*").alias("row"), "text", "source", "lang")
-    return score(rows, model, F.col("source"), F.col("lang")).where("keep").select("row.*")
+    out = _scored(docs, model, F.col("source"), F.col("lang")).where("keep")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -61,9 +61,10 @@ def lookup_table(spark: SparkSession, shards: Sequence[str] = SHARDS, slots: int
 
 
 def place(df: DataFrame, key: Column, lookup: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """``df`` with ``slot`` and ``shard``."""
+    """``df`` with ``slot`` and ``shard``, which replace columns of these names."""
     slot = F.pmod(hash60(F.coalesce(key.cast("string"), F.lit(""))), F.lit(slots)).cast("int")
-    return df.withColumn("slot", slot).join(F.broadcast(lookup), "slot")
+    kept = [df[f"`{c}`"] for c in df.columns if c not in ("slot", "shard")]
+    return df.select(*kept, slot.alias("slot")).join(F.broadcast(lookup), "slot")
 
 
 def op5_lookup_table_sharding(spark, sf_dir: str) -> DataFrame:
