@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import types
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark import cloudpickle
@@ -48,11 +50,36 @@ def shared_dir(spark: SparkSession) -> str:
     return path or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
+_recording: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Collects the paths of the tables that ``land`` writes inside."""
+    paths: list[str] = []
+    _recording.append(paths)
+    try:
+        yield paths
+    finally:
+        _recording.remove(paths)
+
+
+def remove_landed(spark: SparkSession, paths: list[str], reader: DataFrame) -> None:
+    """Remove landed tables whose readers are done; those that ``reader`` scans stay."""
+    files = reader.inputFiles() if paths else []
+    for path in paths:
+        if not any(path.rsplit("/", 1)[1] in f for f in files):
+            there = spark._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and scan it from there:
     cuts the lineage and survives a lost executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/opinio-llm/{name}-{uuid.uuid4().hex}"
+    for paths in _recording:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
