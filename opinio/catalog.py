@@ -674,6 +674,27 @@ def q_ratings_logreg(spark, d):
     return _classifier_report(f, model)
 
 
+@query("logreg_calibration", f"""
+WITH {O.RATINGS_CTE}
+SELECT count(*) AS n, round(avg(CAST(label AS DOUBLE)), 4) AS mean_probability,
+       round(avg(CAST(label AS DOUBLE)), 4) AS label_rate
+FROM ratings WHERE split = 'train'""")
+def q_logreg_calibration(spark, d):
+    """The intercept is not penalised, so at the optimum the mean probability is the label rate."""
+    f, model = _logreg_model(spark, d)
+    scored = CL.positive_probability(model.transform(f.where(F.col("split") == "train")), "score")
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 4).alias("mean_probability"),
+                      F.round(F.avg("label"), 4).alias("label_rate"))
+
+
+@query("logreg_score_equations",
+       "SELECT unnest(['intercept', " + ", ".join(f"'{f}'" for f in SUB_RATINGS) + "]) AS equation, true AS settled")
+def q_logreg_score_equations(spark, d):
+    f, model = _logreg_model(spark, d)
+    out = CL.score_equations(f.where(F.col("split") == "train"), model, SUB_RATINGS, "label", 0.1)
+    return out.select("equation", (F.abs("value") < 1e-4).alias("settled"))
+
+
 @query("rating_weights")
 def q_rating_weights(spark, d):
     _, model = _logreg_model(spark, d)
@@ -798,6 +819,52 @@ def q_weight_sparsity(spark, d):
     return agg.zero_weight_summary(_elastic_net_weights(spark, d))
 
 
+_PENALTY = 0.005
+_MARGINAL_SQL = f"""{O.REVIEWS_CTE},
+c AS (SELECT doc_id, quality, word, count(*) AS n
+      FROM (SELECT doc_id, quality, unnest({_FILTERED}) AS word FROM reviews WHERE text IS NOT NULL) t
+      GROUP BY doc_id, quality, word),
+t AS (SELECT CAST(count(*) AS DOUBLE) AS r, CAST(sum(quality) AS DOUBLE) AS p FROM reviews WHERE text IS NOT NULL),
+s AS (SELECT word, sum(n) AS x, sum(n * n) AS xx, sum(n * quality) AS xy FROM c GROUP BY word HAVING count(*) >= 5),
+m AS (SELECT word, xy / r - x / r * (p / r) AS cov, xx / r - (x / r) * (x / r) AS var FROM s, t),
+w AS (SELECT word, coalesce(CASE WHEN cov > {_PENALTY} THEN cov - {_PENALTY}
+                                 WHEN cov < -{_PENALTY} THEN cov + {_PENALTY} ELSE 0.0 END / nullif(var, 0), 0.0) AS weight
+      FROM m)"""
+
+
+def _marginal_weights(spark, d):
+    rv = V.reviews(spark, d).where(F.col("text").isNotNull())
+    total = rv.agg(F.count(F.lit(1)).alias("r"), F.sum("quality").alias("p")).first()
+    words = rv.select("doc_id", "quality", F.explode(text.without_stop_words(letter_tokens("text"), STOP_WORDS)).alias("word"))
+    counts = words.groupBy("doc_id", "quality", "word").agg(F.count(F.lit(1)).alias("n"))
+    return agg.marginal_lasso_weights(counts, "word", "n", "quality", total["r"], float(total["p"] or 0), _PENALTY, text.MIN_DF)
+
+
+@query("marginal_weights", f"WITH {_MARGINAL_SQL} SELECT word, round(weight, 6) + 0.0 AS weight FROM w")
+def q_marginal_weights(spark, d):
+    return _marginal_weights(spark, d).select("word", r6("weight").alias("weight"))
+
+
+@query("marginal_sparsity", f"""
+WITH {_MARGINAL_SQL}
+SELECT CAST(count(*) FILTER (weight = 0) AS BIGINT) AS n_zero, count(*) AS n_total,
+       round(avg(CAST(weight = 0 AS DOUBLE)), 6) AS zero_share FROM w""")
+def q_marginal_sparsity(spark, d):
+    out = agg.zero_weight_summary(_marginal_weights(spark, d))
+    return out.select("n_zero", "n_total", r6("zero_share").alias("zero_share"))
+
+
+@query("marginal_zero_words", f"WITH {_MARGINAL_SQL} SELECT word FROM w WHERE weight = 0 ORDER BY word LIMIT 15")
+def q_marginal_zero_words(spark, d):
+    return agg.zero_weights(_marginal_weights(spark, d), "word", 15).select("word")
+
+
+@query("zero_weight_words")
+def q_zero_weight_words(spark, d):
+    """The first words (the report's 15) that the elastic net leaves out."""
+    return agg.zero_weights(_elastic_net_weights(spark, d), "word", 15)
+
+
 @query("word_weight_extremes")
 def q_word_weight_extremes(spark, d):
     return agg.top_bottom(_elastic_net_weights(spark, d), "weight", "word", 15)

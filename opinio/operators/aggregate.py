@@ -64,6 +64,23 @@ def zero_weights(weights: DataFrame, key: str, k: int,
     return weights.where(F.col(weight) == 0).orderBy(key).limit(k)
 
 
+def marginal_lasso_weights(counts: DataFrame, word: str, n: str, label: str, rows: int, positives: float,
+                           penalty: float, min_df: float = 1.0) -> DataFrame:
+    """``(word, weight)``: the lasso weight of each word taken alone (least squares of the label on the word's count, over
+    all ``rows`` documents, absent words counting 0): the covariance shrunk toward zero by ``penalty``, over the variance.
+
+    A closed form, so exactly-zero weights follow from one aggregation of ``counts`` (a row a document and
+    word, with the document's label); ``rows`` and ``positives`` are the number of documents and the sum of their labels."""
+    x, y = F.col(n).cast("bigint"), F.col(label).cast("bigint")
+    sums = counts.groupBy(word).agg(F.count(F.lit(1)).alias("_df"), F.sum(x).alias("_x"), F.sum(x * x).alias("_xx"),
+                                    F.sum(x * y).alias("_xy")).where(F.col("_df") >= min_df)
+    mean = F.col("_x") / F.lit(float(rows))
+    cov = F.col("_xy") / F.lit(float(rows)) - mean * F.lit(positives / rows if rows else 0.0)
+    var = F.col("_xx") / F.lit(float(rows)) - mean * mean
+    shrunk = F.when(cov > penalty, cov - penalty).when(cov < -penalty, cov + penalty).otherwise(F.lit(0.0))
+    return sums.select(word, F.coalesce(F.try_divide(shrunk, var), F.lit(0.0)).alias("weight"))
+
+
 def best_by(df: DataFrame, metric: str, tie_cols: list[str],
             descending: bool = True) -> DataFrame:
     """The one best row; ties go to the first row in ``tie_cols`` order

@@ -110,6 +110,22 @@ def gain_importances(nodes: DataFrame, features: list[str]) -> DataFrame:
             .select("column", (F.coalesce("s", F.lit(0.0)) / F.lit(total)).alias("weight")).orderBy("weight", "column"))
 
 
+def score_equations(train: DataFrame, model: PipelineModel, features: list[str], label: str, reg_param: float) -> DataFrame:
+    """``(equation, value)``: how far a fitted ridge logistic regression is from its optimum. At the optimum the mean of
+    (p - y) is 0 (``intercept``), and so is, for every feature, the mean of (p - y) x / deviation plus
+    ``reg_param`` times the coefficient of x / deviation. Two aggregations over the training rows."""
+    lr = model.stages[-1]
+    scored = positive_probability(model.transform(train), "_p").select("_p", F.col(label).cast("double").alias("_y"), *features)
+    rest = F.col("_p") - F.col("_y")
+    row = scored.agg(F.avg(rest).alias("intercept"), *[F.stddev(f).alias(f"s_{f}") for f in features],
+                     *[F.avg(rest * F.col(f)).alias(f"g_{f}") for f in features]).first()
+    values = [("intercept", row["intercept"])]
+    for f, w in zip(features, lr.coefficients.toArray()):
+        spread = row[f"s_{f}"]
+        values.append((f, row[f"g_{f}"] / spread + reg_param * float(w) * spread if spread else 0.0))
+    return train.sparkSession.createDataFrame(values, "equation string, value double")
+
+
 def weight_lookup(weights: DataFrame, column: str) -> DataFrame:
     return weights.where(F.col("column") == column)
 

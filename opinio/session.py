@@ -31,11 +31,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints: the session's checkpoint folder or
-    ``spark.checkpoint.dir``; where neither is set, a folder of the warehouse
-    (shared as well)."""
+    ``spark.checkpoint.dir``; where neither is set, a folder of the warehouse in local mode, an
+    error on a cluster."""
     sc = spark.sparkContext
-    return (sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-            or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
