@@ -44,9 +44,10 @@ ship(__name__)
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where it is unset (tests, notebooks) the warehouse folder serves, which
-    Spark itself requires to be shared."""
+    Where it is unset, a folder of the warehouse serves in local mode (tests, notebooks); a cluster must name one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
     return path or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
