@@ -105,7 +105,7 @@ def top_bottom(df: DataFrame, weight: str, key: str, k: int) -> DataFrame:
     return both.withColumn("rank", F.row_number().over(w_b))
 
 
-ROWS_A_RANGE = 20_000
+ROWS_A_RANGE = 100_000
 
 
 def in_ranges(df: DataFrame, order: list[Column], rows_per_range: int = ROWS_A_RANGE, col: str = "_range") -> DataFrame:

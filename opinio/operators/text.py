@@ -88,7 +88,7 @@ def term_counts(words: DataFrame, doc: str, word: str = "word",
 def vocabulary(counts: DataFrame, word: str = "word", n: str = "n",
                min_df: float = MIN_DF, vocab_size: int | None = None,
                n_docs: int | None = None, indexed: bool = True,
-               rows_per_range: int = 20_000) -> DataFrame:
+               rows_per_range: int = 100_000) -> DataFrame:
     """Words with document frequency >= minDF (a fraction of ``n_docs`` when
     < 1): ``(word, doc_freq, term_count)`` and, when ``indexed``,
     ``term_index`` (rank by total count, ties by word). With ``vocab_size``
