@@ -243,7 +243,7 @@ def test_pruning_keeps_what_reaches_the_threshold():
 
 def test_neighbours_exact_when_all_leaves_are_taken(spark):
     df = _emb(spark)
-    got = ann.nearest(df, df.where("vec_id % 50 = 0"), k=5, probe=1e9, block_rows=32, leaf_rows=8, trees=3).collect()
+    got = ann.nearest(df, df.where("vec_id % 50 = 0"), k=5, reach=1e9, block_rows=32, leaf_rows=8, trees=3).collect()
     rows = {r.vec_id: np.array(r.embedding) for r in df.collect() if r.embedding and None not in r.embedding
             and np.isfinite(r.embedding).all() and np.any(r.embedding) and len(r.embedding) == 16}
     for q in [k for k in rows if k % 50 == 0]:
@@ -257,13 +257,13 @@ def test_neighbours_exact_when_all_leaves_are_taken(spark):
 def test_neighbours_among_ties_and_large_norms(spark):
     ids = random.Random(8).sample(range(1000), 64)
     ties = spark.createDataFrame([(i, np.eye(64)[k].tolist()) for k, i in enumerate(ids)], "vec_id long, embedding array<double>")
-    got = ann.nearest(ties, ties, k=5, probe=1e9, leaf_rows=48, trees=3).collect()
+    got = ann.nearest(ties, ties, k=5, reach=1e9, leaf_rows=48, trees=3).collect()
     for q in ids:
         assert sorted(r.vec_id for r in got if r.query_id == q) == sorted(set(ids) - {q})[:5]
     # far from the origin the rough distances are mostly rounding
     x = 1e8 + np.random.default_rng(3).standard_normal((400, 8))
     far = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
-    got = ann.nearest(far, far.where("vec_id % 20 = 0"), k=5, probe=1e9, leaf_rows=200, trees=3).collect()
+    got = ann.nearest(far, far.where("vec_id % 20 = 0"), k=5, reach=1e9, leaf_rows=200, trees=3).collect()
     for q in range(0, 400, 20):
         want = sorted((float(np.sqrt(((x[k] - x[q]) ** 2).sum())), k) for k in range(400) if k != q)[:5]
         assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == [k for _, k in want]
