@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from opinio.llm.common import land, ship, table
-from opinio.llm.embed_dedup import usable, vector_key
+from opinio.llm.embed_dedup import precision, usable, vector_key
 
 ship(__name__)
 
@@ -133,12 +133,6 @@ class Parcels:
         self.blocks = np.maximum(1, np.ceil(held / max(1, len(forest.sample)) * rows / (2 * block_rows))).astype(np.int64)
 
 
-def precision(df: DataFrame, vec_col: str) -> type:
-    """The numpy type that holds the column's components without loss."""
-    element = df.select(vec_col).schema[0].dataType.elementType.typeName()
-    return np.float32 if element == "float" else np.float64
-
-
 def nearest(emb: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding",
             trees: int = TREES, sample_rows: int = SAMPLE_ROWS, leaf_rows: int = LEAF_ROWS, reach: float = REACH,
             block_rows: int = BLOCK_ROWS, seed: int = 3) -> DataFrame:

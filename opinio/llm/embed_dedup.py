@@ -17,9 +17,11 @@ keys, so it is small in thin regions and large in dense ones. A vector is done w
 passes together miss a link with probability <= ``miss``; the others, with wider windows, go
 through further passes among themselves (a pair with one end done was met by that end). The
 first round's passes follow from the number of distinct vectors, later rounds'
-from what the last round reached. As soon as comparing all pairs of those left is less work
-than the passes they still need, that is done instead, which misses nothing. Rows
-at the unknown end of a range of keys count as not having had the pass.
+from what the last round reached. Every table goes through the first round, whatever its size. The rest is
+exact: as soon as comparing all pairs of those left is less work than the passes
+they still need, that is done instead, which misses nothing. Rows
+at the unknown end of a range of keys count as not having had the pass. Vectors travel in the precision of
+their column and are compared in double precision.
 
 Edge cases. A vector that is NULL, empty, zero, or holds a NULL, NaN or
 infinite component links with nothing: n_links 0, a component of its own.
@@ -51,7 +53,6 @@ WINDOW = 32
 WIDE = 512  # window of the rounds after the first
 MOST_PASSES = 48  # of one round: bounds what a round holds on disk
 BITS = 62
-ALL_PAIRS = 8192  # so many vectors are compared in all pairs at once
 BLOCK_ROWS = 2048
 BLOCK = 256  # rows of a range compared at once
 
@@ -62,6 +63,12 @@ def usable(vec: Column) -> Column:
     return F.coalesce(vec.isNotNull() & (F.size(vec) > 0) & good & F.exists(vec, lambda x: x != 0), F.lit(False))
 
 
+def precision(df: DataFrame, vec_col: str) -> type:
+    """The numpy type that holds the column's components without loss."""
+    element = df.select(vec_col).schema[0].dataType.elementType.typeName()
+    return np.float32 if element == "float" else np.float64
+
+
 def vector_key(vec: Column) -> Column:
     """128-bit digest of the exact components."""
     return F.unhex(F.md5(F.array_join(F.transform(vec, lambda x: x.cast("string")), ",")))
@@ -88,8 +95,8 @@ def first_passes(n: int, threshold: float, window: int, miss: float) -> int:
     return 1 if met >= 1 - miss else math.ceil(math.log(miss) / math.log1p(-met))
 
 
-def keyed(classes: DataFrame, passes: int, seed: int, turn: int) -> DataFrame:
-    """(pass, dim, key, node, vec) for every class and pass."""
+def keyed(classes: DataFrame, passes: int, seed: int, turn: int, kept: type = np.float64) -> DataFrame:
+    """(pass, dim, key, node, vec as bytes of type ``kept``) for every class and pass."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weight = (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
@@ -101,7 +108,7 @@ def keyed(classes: DataFrame, passes: int, seed: int, turn: int) -> DataFrame:
                     if dim not in planes:
                         planes[dim] = directions(dim, passes, seed, turn)
                     x = unit(part["vec"])
-                    raw = [np.asarray(v, np.float64).tobytes() for v in part["vec"]]
+                    raw = [np.asarray(v, kept).tobytes() for v in part["vec"]]
                     for p in range(passes):
                         key = (x @ planes[dim][:, p * BITS:(p + 1) * BITS] > 0) @ weight
                         yield pd.DataFrame({"pass": p, "dim": dim, "key": key, "node": part["node"], "vec": raw})
@@ -130,7 +137,7 @@ def shared_signs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return BITS - np.frexp((x & ~(x >> 1)).astype(np.float64))[1]
 
 
-def window_links(threshold: float, window: int):
+def window_links(threshold: float, window: int, kept: type = np.float64):
     """Of one sorted range: spanning links (a, b) among window neighbours, and for each row (a, NULL)
     how much its pass adds to -log(probability that a link of it is missed)."""
     p_sign = agree(threshold)
@@ -158,7 +165,7 @@ def window_links(threshold: float, window: int):
             s = max(s, done)
             if s >= min(e, upto):
                 continue
-            x = np.frombuffer(b"".join(vec[s:e]), np.float64).reshape(-1, dim[s])
+            x = np.frombuffer(b"".join(vec[s:e]), kept).astype(np.float64).reshape(-1, dim[s])
             u = unit(x)
             for lo in range(0, min(e, upto) - s, BLOCK):
                 hi = min(lo + BLOCK, min(e, upto) - s)
@@ -207,8 +214,8 @@ def all_pairs(left: DataFrame, n: int, threshold: float, block_rows: int) -> Dat
             .groupBy("bi", "bj").applyInPandas(pairs, "a binary, b binary"))
 
 
-def all_links(classes: DataFrame, threshold: float, window: int, miss: float, seed: int, pairs_from: int,
-              block_rows: int) -> DataFrame:
+def all_links(classes: DataFrame, threshold: float, window: int, miss: float, seed: int, block_rows: int,
+              kept: type = np.float64) -> DataFrame:
     """Links that join every component; see the module's text."""
     spark = classes.sparkSession
     target = -math.log(miss)
@@ -216,12 +223,12 @@ def all_links(classes: DataFrame, threshold: float, window: int, miss: float, se
     n = left.count()
     need = first_passes(n, threshold, window, miss)
     found, turn = [], 0
-    while n > max(pairs_from, 2 * window * need):
+    while n > 1 and (turn == 0 or n > 2 * window * need):
         passes = min(need, MOST_PASSES)
         parts = max(1, min(width(spark), n * passes // (16 * window)))
         order = ["pass", "dim", "key", "node"]
-        ranges = keyed(left, passes, seed, turn).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-        seen = land(ranges.mapInPandas(window_links(threshold, window), "a binary, b binary, gain double"), "embed-pass")
+        ranges = keyed(left, passes, seed, turn, kept).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        seen = land(ranges.mapInPandas(window_links(threshold, window, kept), "a binary, b binary, gain double"), "embed-pass")
         found.append(seen.where("b is not null").select("a", "b"))
         gains = seen.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("gain").alias("gain"))
         left = land(left.select("node", "vec", "had").join(gains, "node").select("node", "vec", (F.col("had") + F.col("gain")).alias("had"), "gain")
@@ -230,7 +237,7 @@ def all_links(classes: DataFrame, threshold: float, window: int, miss: float, se
         if n:
             need = math.ceil(min(1e15, max(1.0, (target - had) * passes / max(gain, 1e-15))))
         window, turn = max(window, WIDE), turn + 1
-    if n:
+    if n > 1:
         found.append(all_pairs(left, n, threshold, max(block_rows, BLOCK_ROWS)))
     return functools.reduce(DataFrame.union, found) if found else classes.select(
         F.col("node").alias("a"), F.col("node").alias("b"))
@@ -238,14 +245,14 @@ def all_links(classes: DataFrame, threshold: float, window: int, miss: float, se
 
 def embedding_links(emb: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     threshold: float = THRESHOLD, miss: float = MISS, window: int = WINDOW,
-                    seed: int = 7, block_rows: int = BLOCK_ROWS, pairs_from: int = ALL_PAIRS) -> DataFrame:
+                    seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per row of ``emb``: id, n_links, component_id, kept."""
     rows = emb.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     rows = rows.select("id", "vec", F.when(usable(F.col("vec")), vector_key(F.col("vec"))).alias("node"))
     classes = land(rows.where("node is not null").groupBy("node").agg(
         F.min("id").alias("low"), F.count(F.lit(1)).alias("n"), F.any_value("vec").alias("vec")), "embed-class")
 
-    links = all_links(classes, threshold, window, miss, seed, pairs_from, block_rows)
+    links = all_links(classes, threshold, window, miss, seed, block_rows, precision(emb, vec_col))
     components = land(connected_components(links, "a", "b"), "embed-components")
 
     def count(group: pd.DataFrame) -> pd.DataFrame:

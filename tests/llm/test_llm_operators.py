@@ -107,12 +107,30 @@ def test_embedding_links_in_a_dense_cluster(spark, monkeypatch, wide):
     monkeypatch.setattr(embed_dedup, "WIDE", wide)
     n, pairs = 6000, 500
     df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(_planted(n, pairs))], "vec_id long, embedding array<double>")
-    got = {r.vec_id: r for r in embed_dedup.embedding_links(df, pairs_from=0).collect()}
+    got = {r.vec_id: r for r in embed_dedup.embedding_links(df).collect()}
     assert len(got) == n + pairs
     met = sum(got[n + k].component_id == got[k].component_id and got[k].n_links >= 1 for k in range(pairs))
     assert met >= 0.995 * pairs
 
 
+def test_embedding_links_of_the_passes_alone(spark, monkeypatch):
+    """Without the exact rest: hardly a link is lost, and none is made up."""
+    monkeypatch.setattr(embed_dedup, "all_pairs", lambda left, *a: left.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    rng = np.random.default_rng(21)
+    x = rng.standard_normal((700, 48))
+    x[500:] = x[:200] + 0.2 * rng.standard_normal((200, 48))  # cosine about 0.98
+    u = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(u)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r for r in embed_dedup.embedding_links(df).collect()}
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    links = (u @ u.T >= 0.95) & ~np.eye(700, dtype=bool)
+    met = [k for k in range(500, 700) if got[k].component_id == k - 500]
+    assert len(met) >= 198
+    for k in range(700):
+        assert got[k].n_links == links[k].sum() or got[k].n_links == 0
+        assert got[k].component_id == k or links[k, got[k].component_id]
+
+
 def test_passes_grow_with_the_table():
     passes = [embed_dedup.first_passes(n, 0.95, 32, 1e-3) for n in (10, 50_000, 1_000_000, 100_000_000)]
     assert passes == [1, 18, 31, 66]
