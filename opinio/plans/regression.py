@@ -4,17 +4,21 @@ feature-subset comparison report (M2).
 Single fits use Spark ML (``VectorAssembler`` + ``LinearRegression``, the
 normal-equation solver: one aggregation pass). The subset report needs 13
 fits and 13 scorings over the same table; instead of 26 passes it takes
-ONE aggregation -- count, means and all pairwise population covariances of
-label and features per split -- and solves every subset from those
+ONE pass -- count, means and the centred Gram matrix of
+label and features per split, by Arrow batch -- and solves every subset from those
 moments on the driver (a (k+1)^2 matrix per split, independent of the row
 count). Exact, not sampled: OLS and its MSE are functions of these moments.
 """
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
+import sys
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -23,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no installed copy
+
 
 def assemble(df: DataFrame, features: list[str],
              out: str = "features") -> DataFrame:
@@ -72,28 +78,61 @@ def standardize(fit_df: DataFrame, apply_df: DataFrame, features: list[str],
 
 # ---------------------------------------------------------- moments ----
 
+MERGERS = 32  # tasks that put the tasks' moments together; the driver gets so many rows a split at most
+MOMENTS = "n bigint, mean array<double>, scatter array<double>"
+
+
+def merge_moments(a: tuple | None, b: tuple) -> tuple:
+    """(n, mean, scatter about the mean) of two disjoint sets of rows."""
+    if a is None:
+        return b
+    n, off = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + off * (b[0] / n), a[2] + b[2] + np.outer(off, off) * (a[0] * b[0] / n)
+
+
 def split_moments(df: DataFrame, cols: list[str], split_col: str) -> dict:
     """Per split: n, mean vector and population covariance matrix of
-    ``cols`` -- one grouped aggregation with partial (map-side) buffers.
+    ``cols`` as a blocked Gram matrix: each Arrow batch is centred on its own means and multiplied with
+    itself, a task merges its batches, MERGERS tasks merge those. A hot split is a few matrices a task.
     Rows with a missing value in any column are left out as a whole (fill
-    first), so every moment is over the same rows."""
-    df = df.na.drop(subset=list(cols))
-    pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)]
-    aggs += [F.covar_pop(cols[i], cols[j]).alias(f"_c{i}_{j}") for i, j in pairs]
-    out = {}
-    for row in df.groupBy(split_col).agg(*aggs).collect():
-        k = len(cols)
-        cov = np.zeros((k, k))
-        for i, j in pairs:
-            cov[i, j] = cov[j, i] = row[f"_c{i}_{j}"]
-        out[row[split_col]] = {
-            "n": row["_n"],
-            "mean": np.array([row[f"_m{i}"] for i in range(k)], dtype=float),
-            "cov": cov,
-        }
-    return out
+    first), so every moment is over the same rows. A NULL split is one of its own; without rows there is none."""
+    k = len(cols)
+    rows = df.na.drop(subset=list(cols)).select(
+        F.col(split_col).alias("split"), *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    kind = rows.schema["split"].dataType.simpleString()
+
+    def flat(held: dict) -> dict:
+        return {"n": [m[0] for m in held.values()], "mean": [m[1] for m in held.values()],
+                "scatter": [m[2].ravel() for m in held.values()]}
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            x = np.column_stack([batch[f"c{i}"].to_numpy() for i in range(k)])
+            coded = batch["split"].dictionary_encode()
+            code = coded.indices.fill_null(len(coded.dictionary)).to_numpy()
+            for c, name in enumerate([*coded.dictionary.to_pylist(), None]):
+                own = x[code == c]
+                if len(own):
+                    mean = own.mean(0)
+                    own = own - mean
+                    held[name] = merge_moments(held.get(name), (len(own), mean, own.T @ own))
+        if held:
+            yield pa.RecordBatch.from_pydict({"split": pa.array(list(held), batch.schema.field("split").type), **flat(held)})
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        total = None
+        for n, mean, scatter in zip(group["n"], group["mean"], group["scatter"]):
+            total = merge_moments(total, (n, np.asarray(mean), np.asarray(scatter).reshape(k, k)))
+        return pd.DataFrame({"split": group["split"].iloc[:1], "n": [total[0]], "mean": [total[1]], "scatter": [total[2].ravel()]})
+
+    parts = rows.mapInArrow(blocks, f"split {kind}, {MOMENTS}")
+    merged = (parts.withColumn("merger", F.pmod(F.spark_partition_id(), F.lit(MERGERS)))
+              .groupBy("split", "merger").applyInPandas(merge, f"split {kind}, {MOMENTS}"))
+    held: dict = {}
+    for row in merged.collect():
+        held[row["split"]] = merge_moments(held.get(row["split"]), (row["n"], np.array(row["mean"]), np.array(row["scatter"]).reshape(k, k)))
+    return {name: {"n": n, "mean": mean, "cov": scatter / n} for name, (n, mean, scatter) in held.items()}
 
 
 def ols_from_moments(mom: dict, y: int, xs: list[int]):
