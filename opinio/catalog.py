@@ -27,6 +27,7 @@ from opinio.functions.columns import (
 from opinio.functions.stopwords import bundled_stop_words
 from opinio.operators import aggregate as agg
 from opinio.operators import clean, split, text
+from opinio.operators.joins import split_hot_join
 from opinio.operators.partition import persist_for_iterations
 from opinio.plans import classify as CL
 from opinio.plans import lexicon as lx
@@ -159,6 +160,13 @@ def q_token_lexicon_join(spark, d):
         "doc_id", "word", "sentiment")
 
 
+@query("token_lexicon_split_join", ORACLE["token_lexicon_join"])
+def q_token_lexicon_split_join(spark, d):
+    """The same join as for a lexicon past the broadcast limit: frequent words by broadcast, the rest by shuffle."""
+    words = V.docs(spark, d).select("doc_id", F.explode(letter_tokens("text")).alias("word"))
+    return split_hot_join(words, V.lexicon(spark, d), "word").select("doc_id", "word", "sentiment")
+
+
 @query("conditional_polarity", f"""
 WITH {O.RATINGS_CTE}
 SELECT l_suppkey, round(avg(label) - 0.5, 6) AS avg_centered,
@@ -293,6 +301,24 @@ def q_top_bottom_words(spark, d):
                       r6("idf").alias("idf"))
 
 
+@query("tfidf_vectors", f"""
+WITH {_COUNTS_SQL}
+SELECT doc_id, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS size,
+       CAST(row_number() OVER (PARTITION BY doc_id ORDER BY term_index) - 1 AS INTEGER) AS pos, term_index,
+       round(n * idf, 6) AS tfidf
+FROM counts JOIN idf USING (word) JOIN vocab USING (word)
+UNION ALL
+SELECT doc_id, CAST((SELECT count(*) FROM vocab) AS INTEGER), NULL, NULL, NULL FROM documents
+WHERE text IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM counts JOIN vocab USING (word))""")
+def q_tfidf_vectors(spark, d):
+    """The sparse vectors of every document, entry by entry in the order they hold (one empty row for an empty vector)."""
+    _, vectors = TM.tfidf_vectors(V.docs(spark, d), "doc_id", "text", list(STOP_WORDS), vocab_size=None)
+    parts = F.unwrap_udt("tfidf")
+    pairs = F.posexplode_outer(F.arrays_zip(parts["indices"].alias("i"), parts["values"].alias("v"))).alias("pos", "_p")
+    return vectors.select("doc_id", parts["size"].alias("size"), pairs).select(
+        "doc_id", "size", "pos", F.col("_p.i").alias("term_index"), r6(F.col("_p.v")).alias("tfidf"))
+
+
 @query("model_roundtrip", f"""
 WITH {_COUNTS_SQL}
 SELECT doc_id, word, round(n * idf, 6) AS tfidf FROM counts JOIN idf USING (word)""")
@@ -757,21 +783,18 @@ def q_weight_display_names(spark, d):
 # --------------------------------------------------------- text models ----
 
 def _review_features(spark, d, fit_on: str = "train"):
-    """Cached (doc_id, source, quality, split, tfidf) and the fitted
-    featuriser; ``fit_on`` = 'train' (default) or 'all' (reference's first
+    """The vocabulary and cached (doc_id, source, quality, split, tfidf); ``fit_on`` = 'train' (default) or 'all' (reference's first
     model, whose vocabulary saw every review)."""
     rv = split.hash_split(V.reviews(spark, d), "doc_id").withColumn(
         "quality", F.col("quality").cast("double"))
-    fit_filter = F.lit(True) if fit_on == "all" else F.col("split") == "train"
-    return TM.featurize(None, rv, "text", list(STOP_WORDS),
-                        ["doc_id", "source", "quality", "split"],
-                        fit_filter=fit_filter)
+    return TM.featurize(rv, "doc_id", "text", list(STOP_WORDS), ["doc_id", "source", "quality", "split"],
+                        fit_filter=None if fit_on == "all" else F.col("split") == "train")
 
 
 def _text_fit(spark, d, fit_on, reg, en):
-    fmodel, feats = _review_features(spark, d, fit_on)
+    terms, feats = _review_features(spark, d, fit_on)
     lr = TM.logreg("quality", reg, en).fit(feats.where(F.col("split") == "train"))
-    return fmodel, feats, lr
+    return terms, feats, lr
 
 
 def _text_summary(spark, name, fit_on, reg, en, feats, lr):
@@ -804,9 +827,9 @@ def q_text_elastic_net(spark, d):
 
 
 def _elastic_net_weights(spark, d):
-    fmodel, feats, lr = _text_fit(spark, d, "train", 0.02, 0.3)
+    terms, feats, lr = _text_fit(spark, d, "train", 0.02, 0.3)
     feats.unpersist()
-    return TM.word_weights(spark, TM.fitted_vocabulary(fmodel), lr)
+    return TM.word_weights(terms, lr)
 
 
 @query("word_weights")

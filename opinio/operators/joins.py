@@ -1,9 +1,8 @@
 """Joins whose broadcast side is size-checked (J1, J2, P11 semi-join).
 
 A side is broadcast only after a count proves it has at most ``max_rows``
-rows; beyond that the join is left to a shuffle join (with AQE
-free to switch strategy from runtime statistics and to split skewed
-partitions).
+rows; beyond that the frequent keys of the other side are joined with a broadcast
+of their few rows, and only the rest is shuffled (``split_hot_join``).
 """
 
 from __future__ import annotations
@@ -11,6 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: A key is hot from this part of a shuffle partition's fair share on.
+HOT_SHARE = 0.25
+#: Keys that the frequent-items sketch keeps, for every hot key there can be; its own limits.
+TRACKED_A_KEY, LEAST_TRACKED, MOST_TRACKED = 8, 10_000, 1_000_000
+
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has <= max_rows rows.
@@ -28,6 +32,47 @@ def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
+def frequent_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """``key``: the values of a string column that fill more than ``HOT_SHARE`` of the fair share of one of
+    ``partitions`` (default: the session's shuffle partitions); NULL is none.
+
+    One pass with a mergeable frequent-items sketch of bounded size, so there is no shuffle by the key
+    and at most ``partitions / HOT_SHARE`` values reach the driver. A count is at most what the sketch says, so every
+    key over the share is found as long as the sketch has room (``MOST_TRACKED``: past about 30,000
+    partitions the share that counts as hot rises)."""
+    spark = df.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = max(1, int(partitions / HOT_SHARE))
+    tracked = min(MOST_TRACKED, max(LEAST_TRACKED, TRACKED_A_KEY * most))
+    most = min(most, tracked // TRACKED_A_KEY)
+    found = df.select(F.col(key).alias("_k")).agg(
+        F.expr(f"approx_top_k(_k, {most}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    keys = [(r["item"],) for r in found["top"] if r["item"] is not None and r["count"] * most > found["n"]]
+    return spark.createDataFrame(keys, f"`{key}` string")
+
+
+def split_hot_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
+                   max_broadcast_rows: int = 2_000_000, partitions: int | None = None) -> DataFrame:
+    """Join on a string ``key`` where ``small`` is too large to broadcast and ``big`` may hold a few keys very often
+    (``how``: inner, left, left_semi or left_anti).
+
+    Rows of the frequent keys meet a broadcast of those keys' rows of ``small`` where they stand; the other rows are
+    shuffled, none of their keys frequent enough to fill a task. Rows with a NULL key match nothing: they are not shuffled
+    either. ``big`` is read three times (once by the sketch). Where the frequent keys have more than
+    ``max_broadcast_rows`` rows in ``small``, all is one shuffle join."""
+    hot_keys = frequent_keys(big, key, partitions)
+    hot_small = small.join(F.broadcast(hot_keys), key, "left_semi")
+    if not has_at_most(hot_small, max_broadcast_rows):
+        return big.join(small, key, how)
+    hot = big.join(F.broadcast(hot_keys), key, "left_semi")
+    cold = big.where(F.col(key).isNotNull()).join(F.broadcast(hot_keys), key, "left_anti")
+    out = hot.join(F.broadcast(hot_small), key, how).unionByName(cold.join(small, key, how))
+    if how in ("left", "left_anti"):
+        none = big.where(F.col(key).isNull())
+        out = out.unionByName(none.join(F.broadcast(hot_small), key, how))
+    return out
+
+
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
                  max_broadcast_rows: int = 2_000_000,
                  materialize: bool = False) -> DataFrame:
@@ -35,12 +80,18 @@ def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
 
     ``materialize`` writes a derived small side once (reliable checkpoint in
     the shared checkpoint folder) so the size check and the join read the
-    written rows instead of computing it twice."""
+    written rows instead of computing it twice. Past the limit, a join on one string column keeps
+    its frequent keys out of the shuffle (``split_hot_join``); others are left to a shuffle join, where AQE
+    may still split skewed partitions."""
     if materialize:
         from opinio.sources.readers import land
 
         small = land(small, "small-side")
-    return big.join(maybe_broadcast(small, max_broadcast_rows), on, how)
+    if has_at_most(small, max_broadcast_rows):
+        return big.join(F.broadcast(small), on, how)
+    if isinstance(on, str) and how in ("inner", "left", "left_semi", "left_anti") and big.schema[on].dataType.typeName() == "string":
+        return split_hot_join(big, small, on, how, max(max_broadcast_rows, LEAST_TRACKED))
+    return big.join(small, on, how)
 
 
 def semi_join_checked(df: DataFrame, keys: DataFrame, on,

@@ -169,6 +169,22 @@ def words_of_vectors(df: DataFrame, model, keep: list[str], vector: str = "tfidf
     return join_checked(rows, words, "i").select(*keep, "word", vector)
 
 
+def sparse_vectors(entries: DataFrame, doc: str, index: str, value: str, size: int, out: str) -> DataFrame:
+    """``(doc, out)``: one sparse ML vector of ``size`` entries per document, from rows ``(doc, index, value)``; a row
+    without index adds nothing but keeps its document, so a document can have an empty vector.
+
+    Each document's entries are gathered (bounded by its distinct words) and sorted by index in the JVM.
+    The struct is landed and read back with the vector type, which has the same layout on disk: no Python
+    and no vocabulary array on any machine."""
+    from opinio.sources.readers import land_vectors
+
+    pair = F.when(F.col(index).isNotNull(), F.struct(F.col(index).cast("int").alias("i"), F.col(value).cast("double").alias("v")))
+    rows = entries.groupBy(doc).agg(F.sort_array(F.collect_list(pair)).alias("_e"))
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                      F.col("_e.i").alias("indices"), F.col("_e.v").alias("values"))
+    return land_vectors(rows.select(doc, vector.alias(out)), out)
+
+
 def fitted_vocabulary(model) -> list[str]:
     """Vocabulary of the CountVectorizer inside a fitted TF-IDF pipeline
     (bounded by vocabSize)."""

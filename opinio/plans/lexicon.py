@@ -6,9 +6,9 @@ that one polarity.
 
 Plan choice: when the lexicon is proven small (its count is checked) it is
 broadcast and token rows stream through a map-side hash join straight into
-a partial aggregate per entity -- a single, tiny shuffle. Otherwise token
-rows are first reduced to ``(entity, word, n)`` counts (map-side combine),
-and only those are shuffled to meet the lexicon.
+a partial aggregate per entity -- a single, tiny shuffle. Otherwise
+the frequent words, found by a sketch, meet a broadcast of their own rows of the lexicon, and the rest
+is reduced to ``(entity, word, n)`` counts (map-side combine) before it is shuffled by word.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinio.functions.columns import letter_tokens, match_flag, polarity
-from opinio.operators.joins import has_at_most, join_checked
+from opinio.operators.joins import LEAST_TRACKED, frequent_keys, has_at_most, join_checked
 
 MAX_BROADCAST_LEXICON_ROWS = 5_000_000
 
@@ -51,12 +51,22 @@ def entity_sentiment(df: DataFrame, entity: str, text: str,
         scored = (words.join(F.broadcast(lex), "word")
                   .groupBy(entity).agg(F.avg("s").alias("avg_sentiment")))
     else:
-        counts = words.groupBy(entity, "word").agg(F.count(F.lit(1)).alias("n"))
-        scored = (counts.join(lex, "word")
-                  .groupBy(entity)
-                  .agg((F.sum(F.col("s") * F.col("n"))
-                        / F.sum(F.when(F.col("s").isNotNull(), F.col("n"))))
-                       .alias("avg_sentiment")))
+        # the sketch counts word occurrences; the shuffled rows are (entity, word), which are fewer
+        hot_words = F.broadcast(frequent_keys(words, "word"))
+        hot_lex = lex.join(hot_words, "word", "left_semi")
+        parts = [F.sum("s").alias("_s"), F.count("s").alias("_n")]
+        counted = [F.sum(F.col("s") * F.col("n")).alias("_s"),
+                   F.sum(F.when(F.col("s").isNotNull(), F.col("n")).otherwise(0)).alias("_n")]
+        if has_at_most(hot_lex, max(max_broadcast_rows, LEAST_TRACKED)):
+            hot = words.join(hot_words, "word", "left_semi").join(F.broadcast(hot_lex), "word").groupBy(entity).agg(*parts)
+            words = words.join(hot_words, "word", "left_anti")
+        else:
+            hot = None
+        cold = (words.groupBy(entity, "word").agg(F.count(F.lit(1)).alias("n"))
+                .join(lex, "word").groupBy(entity).agg(*counted))
+        sums = cold if hot is None else hot.unionByName(cold)
+        scored = sums.groupBy(entity).agg(
+            F.try_divide(F.sum("_s"), F.sum("_n")).alias("avg_sentiment"))
     return scored.withColumn("predicted", polarity("avg_sentiment"))
 
 

@@ -66,9 +66,9 @@ def text_sentiment(spark: SparkSession, reviews: DataFrame, spec: ReviewSpec,
         "lexicon_accuracy": lx.lexicon_accuracy(base, ent, lab,
                                                 polarity.select(ent, "predicted")),
     }
-    fmodel, feats = TM.featurize(None, base, txt, stop_words,
-                                 [key, ent, lab, "split"],
-                                 fit_filter=F.col("split") == "train")
+    terms, feats = TM.featurize(base, key, txt, stop_words,
+                                [key, ent, lab, "split"],
+                                fit_filter=F.col("split") == "train")
     grid, models = TM.grid_search(spark, feats.where(F.col("split") == "train"),
                                   feats.where(F.col("split") == "validation"),
                                   lab, reg_params, elastic_nets)
@@ -77,7 +77,7 @@ def text_sentiment(spark: SparkSession, reviews: DataFrame, spec: ReviewSpec,
     scored = best.transform(feats)
     out.update({
         "grid": grid,
-        "word_weights": TM.word_weights(spark, TM.fitted_vocabulary(fmodel), best),
+        "word_weights": TM.word_weights(terms, best),
         "test_accuracy": scored.where(F.col("split") == "test").agg(
             F.avg(match_flag("prediction", lab)).alias("accuracy")),
         "scored": scored.select(key, ent, lab, "split", "prediction"),

@@ -2,7 +2,8 @@
 report (E6).
 
 The TF-IDF features are fitted once (on the training split by default, or
-on all reviews to reproduce the reference's first model) and persisted;
+on all reviews to reproduce the reference's first model), assembled from the relational word counts
+(the vocabulary stays a table) and persisted;
 the parameter grid then only refits the logistic regression, all grid points in one job an
 iteration (``gridfit``), over the same vectors. Grid points that are the same model
 (regParam 0 with any elastic-net mix) are fitted once and reported for
@@ -12,52 +13,48 @@ validation rows.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinio.functions.columns import match_flag
+from opinio.functions.columns import letter_tokens, match_flag
 from opinio.operators.aggregate import mean_with_error
+from opinio.operators.joins import join_checked
 from opinio.operators.partition import persist_for_iterations
-from opinio.operators.text import MIN_DF, VOCAB_SIZE, fitted_vocabulary, tfidf_estimator
+from opinio.operators.text import MIN_DF, VOCAB_SIZE, sparse_vectors, vocabulary, without_stop_words
 from opinio.plans.gridfit import fit_grid
-
-
-def featurize(fit_df: DataFrame, apply_df: DataFrame, text: str,
-              stop_words: list[str], keep: list[str],
-              vocab_size: int = VOCAB_SIZE, min_df: float = MIN_DF,
-              persist: bool = True, fit_filter=None):
-    """Fit tokeniser -> stop words -> counts -> IDF and turn ``apply_df``
-    into ``keep + [tfidf]``. Returns (PipelineModel, features).
-
-    When ``fit_filter`` is given, ``fit_df`` is ignored and the vocabulary /
-    IDF are fitted on ``apply_df.where(fit_filter)``: the corpus is then
-    tokenised ONCE (tokens persisted) instead of once per fitted stage and
-    once more for the transform -- tokenising is the dominant cost."""
-    est = tfidf_estimator(text, stop_words, vocab_size, min_df)
-    tok, sw, cv, idf = est.getStages()
-    if fit_filter is None:
-        model = est.fit(fit_df.where(F.col(text).isNotNull()))
-        feats = model.transform(apply_df.where(F.col(text).isNotNull()))
-    else:
-        # fit_filter may only reference ``keep`` columns
-        tokens = sw.transform(tok.transform(
-            apply_df.where(F.col(text).isNotNull()))).select(*keep, "filtered")
-        tokens = tokens.persist(StorageLevel.MEMORY_AND_DISK)
-        fit_rows = tokens.where(fit_filter)
-        cv_model = cv.fit(fit_rows)
-        idf_model = idf.fit(cv_model.transform(fit_rows))
-        model = PipelineModel(stages=[tok, sw, cv_model, idf_model])
-        feats = idf_model.transform(cv_model.transform(tokens))
-    feats = feats.select(*keep, "tfidf")
-    if persist:
-        feats = persist_for_iterations(feats)
-        if fit_filter is not None:
-            tokens.unpersist()
-    return model, feats
+from opinio.sources.readers import land
+
+
+def tfidf_vectors(df: DataFrame, doc: str, text: str, stop_words: list[str], vocab_size: int | None = VOCAB_SIZE,
+                  min_df: float = MIN_DF, fit_filter=None) -> tuple[DataFrame, DataFrame]:
+    """``(word, term_index, idf)`` and ``(doc, tfidf)`` sparse vectors of every row with text (empty where it holds no word
+    of the vocabulary). ``doc`` identifies the rows; vocabulary and IDF come from the rows that meet ``fit_filter``.
+
+    The corpus is tokenised once, into landed ``(doc, word, n)`` rows; vocabulary ranks, IDF and vectors follow by
+    aggregations and one join by word. The vocabulary is never collected."""
+    rows = df.where(F.col(text).isNotNull())
+    fit = F.lit(True) if fit_filter is None else fit_filter
+    tokens = without_stop_words(letter_tokens(text), stop_words)
+    # documents without words stay as one row whose word is NULL
+    counts = land(rows.select(doc, F.coalesce(fit, F.lit(False)).alias("_fit"), F.explode_outer(tokens).alias("word"))
+                  .groupBy(doc, "_fit", "word").agg(F.count("word").alias("n")), "word-counts")
+    n_docs = rows.where(fit).count()
+    vocab = vocabulary(counts.where(F.col("_fit") & F.col("word").isNotNull()), min_df=min_df,
+                       vocab_size=vocab_size, n_docs=n_docs)
+    idf = F.log((F.lit(n_docs) + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))
+    terms = land(vocab.select("word", F.col("term_index").cast("int").alias("term_index"), idf.alias("idf")), "terms")
+    entries = join_checked(counts, terms, "word", "left").withColumn("_v", F.col("n") * F.col("idf"))
+    return terms, sparse_vectors(entries, doc, "term_index", "_v", terms.count(), "tfidf")
+
+
+def featurize(df: DataFrame, doc: str, text: str, stop_words: list[str], keep: list[str],
+              vocab_size: int | None = VOCAB_SIZE, min_df: float = MIN_DF, fit_filter=None) -> tuple[DataFrame, DataFrame]:
+    """``tfidf_vectors`` with the columns ``keep`` (``doc`` among them), persisted for iterative fits; the caller unpersists."""
+    terms, vectors = tfidf_vectors(df, doc, text, stop_words, vocab_size, min_df, fit_filter)
+    return terms, persist_for_iterations(df.select(*keep).join(vectors, doc).select(*keep, "tfidf"))
 
 
 def logreg(label: str, reg_param: float = 0.0, elastic_net: float = 0.0,
@@ -67,13 +64,12 @@ def logreg(label: str, reg_param: float = 0.0, elastic_net: float = 0.0,
                               maxIter=max_iter)
 
 
-def word_weights(spark: SparkSession, vocabulary: list[str],
-                 lr_model) -> DataFrame:
-    """``(word, weight)``: vocabulary zipped with coefficients (bounded by
-    vocabSize)."""
+def word_weights(terms: DataFrame, lr_model) -> DataFrame:
+    """``(word, weight)``: the coefficients (bounded by the vocabulary's size), by their index, beside their words."""
     w = lr_model.coefficients.toArray()
-    rows = [(word, float(x)) for word, x in zip(vocabulary, w)]
-    return spark.createDataFrame(rows, "word string, weight double")
+    weights = terms.sparkSession.createDataFrame(
+        pd.DataFrame({"term_index": range(len(w)), "weight": w}), "term_index int, weight double")
+    return terms.join(weights, "term_index").select("word", "weight")
 
 
 def effective_key(reg: float, en: float) -> tuple[float, float]:
@@ -122,5 +118,4 @@ def entity_report(scored: DataFrame, entity: str, threshold: int,
     return rep.where(F.col("review_count") > threshold)
 
 
-__all__ = ["featurize", "logreg", "word_weights", "grid_search",
-           "entity_report", "fitted_vocabulary"]
+__all__ = ["featurize", "tfidf_vectors", "logreg", "word_weights", "grid_search", "entity_report"]

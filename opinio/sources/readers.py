@@ -102,3 +102,15 @@ def land(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def land_vectors(df: DataFrame, col: str, name: str = "vectors") -> DataFrame:
+    """``land`` for a column holding the parts of ML vectors (type, size, indices, values): read back as vectors."""
+    from pyspark.ml.linalg import VectorUDT
+
+    from opinio.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    schema = T.StructType([T.StructField(f.name, VectorUDT() if f.name == col else f.dataType) for f in df.schema])
+    return df.sparkSession.read.schema(schema).parquet(path)
