@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -308,15 +307,16 @@ SELECT doc_id, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS size,
        round(n * idf, 6) AS tfidf
 FROM counts JOIN idf USING (word) JOIN vocab USING (word)
 UNION ALL
-SELECT doc_id, CAST((SELECT count(*) FROM vocab) AS INTEGER), NULL, NULL, NULL FROM documents
+SELECT doc_id, CAST((SELECT count(*) FROM vocab) AS INTEGER), -1, -1, 0.0 FROM documents
 WHERE text IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM counts JOIN vocab USING (word))""")
 def q_tfidf_vectors(spark, d):
-    """The sparse vectors of every document, entry by entry in the order they hold (one empty row for an empty vector)."""
+    """The sparse vectors of every document, entry by entry in the order they hold (an empty vector: one row at -1)."""
     _, vectors = TM.tfidf_vectors(V.docs(spark, d), "doc_id", "text", list(STOP_WORDS), vocab_size=None)
     parts = F.unwrap_udt("tfidf")
     pairs = F.posexplode_outer(F.arrays_zip(parts["indices"].alias("i"), parts["values"].alias("v"))).alias("pos", "_p")
     return vectors.select("doc_id", parts["size"].alias("size"), pairs).select(
-        "doc_id", "size", "pos", F.col("_p.i").alias("term_index"), r6(F.col("_p.v")).alias("tfidf"))
+        "doc_id", "size", F.coalesce("pos", F.lit(-1)).alias("pos"), F.coalesce("_p.i", F.lit(-1)).alias("term_index"),
+        r6(F.coalesce("_p.v", F.lit(0.0))).alias("tfidf"))
 
 
 @query("model_roundtrip", f"""
@@ -481,10 +481,7 @@ m AS (SELECT avg(l_discount) AS md, avg(l_tax) AS mt FROM ratings WHERE split =
 SELECT l_orderkey, line, split, round(coalesce(l_discount, md), 6) AS l_discount,
        round(coalesce(l_tax, mt), 6) AS l_tax FROM ratings, m""")
 def q_impute_mean(spark, d):
-    r = V.ratings_split(spark, d).select("l_orderkey", "line", "split",
-                                         "l_discount", "l_tax")
-    out = clean.impute_mean(r.where(F.col("split") == "train"), r,
-                            ["l_discount", "l_tax"])
+    out = _filled_ratings(spark, d)
     return out.select("l_orderkey", "line", "split",
                       r6("l_discount").alias("l_discount"),
                       r6("l_tax").alias("l_tax"))
@@ -558,8 +555,8 @@ RUNS = [(list(names), fit, score) for names, fit, score in V.RATINGS.ols_runs]
 
 def _filled_ratings(spark, d):
     """Labelled, split ratings; discount/tax NULLs filled with TRAINING
-    means (no leakage from validation/test)."""
-    r = V.ratings_split(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
+    means (no leakage from validation/test). Means, fits and scores read one landed copy."""
+    r = V.landed_ratings(spark, d)
     return clean.impute_mean(r.where(F.col("split") == "train"), r,
                              ["l_discount", "l_tax"])
 
@@ -574,6 +571,17 @@ def q_assemble_ratings(spark, d):
     return out.select("l_orderkey", "line", *[r6(f).alias(f) for f in FEATURES])
 
 
+@query("order_ratings", f"""
+WITH {O.RATINGS_CTE}
+SELECT l_orderkey, count(*) AS n, round(avg(l_quantity), 6) AS avg_quantity, max(o_totalprice) AS o_totalprice
+FROM ratings GROUP BY l_orderkey""")
+def q_order_ratings(spark, d):
+    """Ratings per order from tables in buckets of the order key: neither the join nor the grouping shuffles."""
+    out = V.ratings(spark, d, bucketed=True).groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("l_quantity").alias("avg_quantity"), F.max("o_totalprice").alias("o_totalprice"))
+    return out.select("l_orderkey", "n", r6("avg_quantity").alias("avg_quantity"), "o_totalprice")
+
+
 @query("standardize", f"""
 WITH {O.RATINGS_CTE}, {O.filled_ratings_cte(FEATURES)},
 st AS (SELECT {', '.join(f'avg({f}) AS m_{f}, stddev_samp({f}) AS s_{f}' for f in FEATURES)}

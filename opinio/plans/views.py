@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 
 from opinio.functions.columns import letter_tokens
 from opinio.operators.split import hash_split
-from opinio.sources.readers import land
-from opinio.sources.readers import read_parquet
+from opinio.sources.readers import land, land_bucketed, read_parquet
 from opinio.specs import ReviewSpec
 
 # The eight numeric features of the ratings view.
@@ -71,10 +70,12 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str,
-            labelled_only: bool = True) -> DataFrame:
+            labelled_only: bool = True, bucketed: bool = False) -> DataFrame:
     """Numeric ratings table; with ``labelled_only`` the R/A filter is a
-    plain predicate on ``l_returnflag`` and reaches the lineitem scan."""
-    li = table(spark, sf_dir, "lineitem").select(
+    plain predicate on ``l_returnflag`` and reaches the lineitem scan. With ``bucketed``, both tables that meet by
+    order key are landed in buckets of it first, and the view's rows stay where they lie: neither the join nor what
+    follows by order key shuffles."""
+    li = table(spark, sf_dir, "lineitem", spread_out=not bucketed).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
     if labelled_only:
@@ -83,6 +84,9 @@ def ratings(spark: SparkSession, sf_dir: str,
     # allows it, else shuffled by key) -- no redistribution of their own
     orders = table(spark, sf_dir, "orders", spread_out=False).select(
         "o_orderkey", "o_totalprice")
+    if bucketed:
+        li = land_bucketed(li, "lineitem", "l_orderkey")
+        orders = land_bucketed(orders, "orders", "o_orderkey").hint("merge")
     part = table(spark, sf_dir, "part", spread_out=False).select(
         "p_partkey", "p_size", "p_retailprice")
     joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
@@ -108,6 +112,13 @@ def ratings_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_split(ratings(spark, sf_dir), "l_orderkey")
 
 
+def landed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ratings_split`` written once, in buckets of the order key and sorted by it: means, fits and scores
+    read this copy, and nothing by order key shuffles any more."""
+    view = hash_split(ratings(spark, sf_dir), "l_orderkey")
+    return land_bucketed(view, "ratings", "l_orderkey")
+
+
 def reviews_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_split(reviews(spark, sf_dir), "doc_id")
 

@@ -104,6 +104,25 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def land_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None, path: str | None = None) -> DataFrame:
+    """``land`` with the rows hashed by ``key`` into ``buckets`` files (default: the session's shuffle partitions), sorted
+    inside each: one shuffle now, and none in later joins and aggregations by ``key`` with tables of as many
+    buckets (a merge join still sorts each file, which is in order already). A key's rows lie in one file, so
+    this is for keys of few rows each, such as an order; rows with a NULL key share a file.
+
+    The table's files lie in the shared folder (or ``path``); its name is of this session's catalog."""
+    import uuid
+
+    from opinio.session import scratch_path
+
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet")
+     .option("path", path or scratch_path(spark, name)).saveAsTable(table))
+    return spark.table(table)
+
+
 def land_vectors(df: DataFrame, col: str, name: str = "vectors") -> DataFrame:
     """``land`` for a column holding the parts of ML vectors (type, size, indices, values): read back as vectors."""
     from pyspark.ml.linalg import VectorUDT
