@@ -28,6 +28,17 @@ def spread(df: DataFrame, min_partitions: int | None = None,
     return df
 
 
+ROWS_A_JOIN_TASK, LEAST_DEALT = 500_000, 2_000_000
+
+
+def join_tasks(spark, rows: int) -> int | None:
+    """Tasks of a shuffle join that reads ``rows`` rows, so that none sorts more than about ROWS_A_JOIN_TASK of them; not fewer
+    than the session's number (the planner would deal the rows again). None (that number, which AQE lowers) where
+    there are at most LEAST_DEALT rows."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(width, -(-rows // ROWS_A_JOIN_TASK)) if rows > LEAST_DEALT else None
+
+
 ROWS_A_FIT_PARTITION = 100_000
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinio.functions.columns import letter_tokens
+from opinio.operators.partition import join_tasks
 from opinio.operators.split import hash_split
 from opinio.sources.readers import land, land_bucketed, read_parquet
 from opinio.specs import ReviewSpec
@@ -69,13 +70,26 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).join(labels, "doc_id")
 
 
+#: Parts (three numbers each) are broadcast, where the planner wants to, up to so many rows: every task holds the table.
+MOST_PARTS_SENT = 2_000_000
+
+
+def rating_tasks(spark: SparkSession, sf_dir: str) -> int | None:
+    """Tasks of the join of lineitem and orders (a count from the files' footers)."""
+    return join_tasks(spark, table(spark, sf_dir, "lineitem", spread_out=False).count())
+
+
 def ratings(spark: SparkSession, sf_dir: str,
             labelled_only: bool = True, bucketed: bool = False) -> DataFrame:
     """Numeric ratings table; with ``labelled_only`` the R/A filter is a
     plain predicate on ``l_returnflag`` and reaches the lineitem scan. With ``bucketed``, both tables that meet by
     order key are landed in buckets of it first, and the view's rows stay where they lie: neither the join nor what
-    follows by order key shuffles."""
-    li = table(spark, sf_dir, "lineitem", spread_out=not bucketed).select(
+    follows by order key shuffles.
+
+    A large lineitem is dealt to as many tasks as its rows need (``rating_tasks``), so no task sorts more than its share; parts
+    too many to broadcast are the hashed side of a shuffle join, which sorts nothing and lets AQE split frequent parts."""
+    tasks = rating_tasks(spark, sf_dir)
+    li = table(spark, sf_dir, "lineitem", spread_out=not (bucketed or tasks)).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
     if labelled_only:
@@ -85,12 +99,18 @@ def ratings(spark: SparkSession, sf_dir: str,
     orders = table(spark, sf_dir, "orders", spread_out=False).select(
         "o_orderkey", "o_totalprice")
     if bucketed:
-        li = land_bucketed(li, "lineitem", "l_orderkey")
-        orders = land_bucketed(orders, "orders", "o_orderkey").hint("merge")
+        li = land_bucketed(li, "lineitem", "l_orderkey", tasks)
+        orders = land_bucketed(orders, "orders", "o_orderkey", tasks).hint("merge")
     part = table(spark, sf_dir, "part", spread_out=False).select(
         "p_partkey", "p_size", "p_retailprice")
-    joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-              .join(part, li.l_partkey == part.p_partkey))
+    if tasks and part.count() > MOST_PARTS_SENT:
+        part = part.hint("shuffle_hash")
+    if tasks and not bucketed:  # parts first: the rows end up dealt by order key
+        joined = (li.join(part, F.col("l_partkey") == F.col("p_partkey")).repartition(tasks, "l_orderkey")
+                  .join(orders.repartition(tasks, "o_orderkey").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")))
+    else:
+        joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+                  .join(part, li.l_partkey == part.p_partkey))
     label = (F.when(F.col("l_returnflag") == "R", F.lit(1))
              .when(F.col("l_returnflag") == "A", F.lit(0)))
     return joined.select(
@@ -116,7 +136,7 @@ def landed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ratings_split`` written once, in buckets of the order key and sorted by it: means, fits and scores
     read this copy, and nothing by order key shuffles any more."""
     view = hash_split(ratings(spark, sf_dir), "l_orderkey")
-    return land_bucketed(view, "ratings", "l_orderkey")
+    return land_bucketed(view, "ratings", "l_orderkey", rating_tasks(spark, sf_dir))
 
 
 def reviews_split(spark: SparkSession, sf_dir: str) -> DataFrame:
