@@ -9,6 +9,12 @@ reach the driver; weight tables are returned as small DataFrames.
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -18,6 +24,8 @@ from pyspark.sql import functions as F
 
 from opinio.operators.joins import join_checked
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no installed copy
+
 
 def logreg_estimator(features: list[str], label: str,
                      reg_param: float = 0.1) -> Pipeline:
@@ -73,28 +81,34 @@ def forest_trees(spark: SparkSession, model: PipelineModel) -> DataFrame:
 def forest_scores(df: DataFrame, nodes: DataFrame, features: list[str]) -> DataFrame:
     """``df`` with ``forest_score`` (P(label = 1)) and ``forest_prediction`` from a node table
     (``sources.models.forest_nodes``) alone: all trees walk down together, a level at a time, by lookups in
-    the table's columns. The table (at most trees * 2^depth rows, a model's size) is a
-    constant of the plan, so scoring is a map without any shuffle or Python. NULL and NaN go right."""
+    the table's columns, for an Arrow batch of rows at once. The table (at most trees * 2^depth rows, a model's size) goes
+    with the function, so scoring is a map without any shuffle. NULL and NaN go right."""
     rows = nodes.orderBy("tree", "node").select(
         "tree", "node", "depth", "feature", "threshold", "left_child", "right_child", "votes").collect()
     place = {(r.tree, r.node): k for k, r in enumerate(rows)}
-    child = lambda k: [place.get((r.tree, r[k]), -1) for r in rows]
-    column = lambda values, kind: F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
-    feature = column([features.index(r.feature) if r.feature is not None else -1 for r in rows], "int")
-    threshold = column([r.threshold or 0.0 for r in rows], "double")
-    left, right = column(child("left_child"), "int"), column(child("right_child"), "int")
-    share = column([r.votes[1] / sum(r.votes) for r in rows], "double")
-    values = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(float("nan"))) for f in features])
-
-    def down(n):
-        goes_left = F.get(values, F.get(feature, n)) <= F.get(threshold, n)
-        return F.when(F.get(left, n) < 0, n).when(goes_left, F.get(left, n)).otherwise(F.get(right, n))
-
-    out = df.withColumn("_at", column([place[r.tree, r.node] for r in rows if r.depth == 0], "int"))
-    for _ in range(max((r.depth for r in rows), default=0)):
-        out = out.withColumn("_at", F.transform("_at", down))
-    total = F.aggregate("_at", F.lit(0.0), lambda a, n: a + F.get(share, n))
-    return (out.withColumn("forest_score", total / F.size("_at")).drop("_at")
+    child = lambda k: np.array([place.get((r.tree, r[k]), i) for i, r in enumerate(rows)], np.int32)
+    # a leaf's children are itself
+    left, right = child("left_child"), child("right_child")
+    feature = np.array([features.index(r.feature) if r.feature is not None else 0 for r in rows], np.int32)
+    threshold = np.array([r.threshold or 0.0 for r in rows])
+    share = np.array([r.votes[1] / sum(r.votes) for r in rows])
+    roots = [place[r.tree, r.node] for r in rows if r.depth == 0]
+    levels = max((r.depth for r in rows), default=0)
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            values = np.column_stack([c.to_numpy(np.float64) for c in columns]).ravel()
+            first = np.arange(len(columns[0])) * len(columns)
+            total = np.zeros(len(first))
+            for root in roots:
+                at = np.full(len(first), root, np.int32)
+                for _ in range(levels):
+                    at = np.where(values[first + feature[at]] <= threshold[at], left[at], right[at])
+                total += share[at]
+            yield pd.Series(total / len(roots))
+
+    return (df.withColumn("forest_score", score(*[F.col(f).cast("double") for f in features]))
             .withColumn("forest_prediction", (F.col("forest_score") > 0.5).cast("double")))
 
 
