@@ -2,7 +2,7 @@
 
 The training rows are turned into sparse blocks once and kept on the executors. In every
 round the coefficients of all models that still run are stacked into one matrix; one pass over the blocks
-gives the losses and gradients of all of them, added up tree-wise (a model's size a task). Each
+gives the losses and gradients of all of them, added up tree-wise until one sum is left for the driver. Each
 model then takes its own step on the driver: L-BFGS, or its orthant-wise form where there is an L1
 share. A model that has settled leaves the matrix; the rounds end when none is left.
 
@@ -36,6 +36,7 @@ BLOCK_VALUES = 500_000  # values of a block: bounds a task's working arrays
 MEMORY = 10
 SETTLED = 5  # iterations whose mean gain decides whether a model has settled
 TRIALS = 25  # points tried along one direction
+FAN_IN = 8  # partial sums that a task adds up
 
 
 def sparse_blocks(rows: DataFrame, label: str, features: str) -> RDD:
@@ -69,7 +70,15 @@ def sparse_blocks(rows: DataFrame, label: str, features: str) -> RDD:
 
 
 def _tree_sum(parts: RDD) -> tuple:
-    return parts.treeReduce(lambda a, b: tuple(x + y for x, y in zip(a, b)))
+    """Sum of tuples of arrays and numbers, level by level in tasks until one is left: the driver gets that one, whatever the
+    number of partitions."""
+    add = lambda a, b: tuple(x + y for x, y in zip(a, b))
+    n = parts.getNumPartitions()
+    while n > 1:
+        n = -(-n // FAN_IN)
+        parts = (parts.mapPartitionsWithIndex(lambda i, held, n=n: ((i % n, x) for x in held))
+                 .reduceByKey(add, n, int).values())
+    return parts.reduce(add)
 
 
 @dataclass

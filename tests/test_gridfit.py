@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from conftest import SF_SMALL
+from pyspark import RDD
 from pyspark.ml.linalg import Vectors
 
 from opinio.catalog import _review_features
@@ -71,3 +72,22 @@ def test_fitted_models_can_be_stored(spark, train):
     back = models.load_model(spark, "lr", root=root)
     rows = lambda m: m.transform(train).select("doc_id", "prediction").orderBy("doc_id").collect()
     assert rows(back) == rows(model)
+
+
+def test_the_driver_gets_one_sum(spark):
+    """Whatever the number of partitions, what comes to the driver is one tuple."""
+    parts = spark.sparkContext.parallelize(range(100), 100).map(lambda x: (float(x), np.full(3, x)))
+    collected = []
+    real = RDD.collect
+
+    def collect(rdd):
+        collected.append(real(rdd))
+        return collected[-1]
+
+    RDD.collect = collect
+    try:
+        total, each = G._tree_sum(parts)
+    finally:
+        RDD.collect = real
+    assert [len(c) for c in collected] == [1]
+    assert total == 4950 and each.tolist() == [4950] * 3
