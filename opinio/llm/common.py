@@ -41,6 +41,10 @@ def trim() -> None:
 ship(__name__)
 
 
+BUCKETS_A_PARTITION = 2
+MOST_BUCKETS = 100_000  # Spark's limit of a bucketed table
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir``.
 
@@ -85,6 +89,20 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def land_in_buckets(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``land`` with the rows in files by the hash of ``key``, so that grouping or cogrouping by it reads the files where they
+    lie and shuffles the other side only. Nothing is shuffled to write them: this is for a key whose rows lie in one partition
+    already (else the files are many). The number of buckets grows with the input's partitions."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/opinio-llm/{name}-{uuid.uuid4().hex}"
+    for paths in _recording:
+        paths.append(path)
+    kept = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+    buckets = min(MOST_BUCKETS, max(width(spark), BUCKETS_A_PARTITION * df.rdd.getNumPartitions()))
+    df.write.bucketBy(buckets, key).format("parquet").option("path", path).saveAsTable(kept)
+    return spark.table(kept)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -55,7 +55,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, StructType
 from pyspark.sql.window import Window
 
-from opinio.llm.common import bundled, land, mix64, ship, table, trim, width, worker_cache
+from opinio.llm.common import bundled, land, land_in_buckets, mix64, ship, table, trim, width, worker_cache
 
 ship(__name__)
 
@@ -237,7 +237,8 @@ def repeated_windows(shared: np.ndarray, lefts: list[bytes], length: int) -> np.
 def stored(docs: DataFrame, text_col: str) -> DataFrame:
     """All columns but the text, with rid (number of the row), block (rows that lie together: at most 2048,
     and at most BLOCK_BYTES of text unless it is a single row), z (the text's UTF-8 bytes, compressed) and
-    _null (text was NULL), written once. The block is the rid without its last BLOCK_BITS bits."""
+    _null (text was NULL), written once, in buckets of the block: the texts are never shuffled afterwards. The block is the rid
+    without its last BLOCK_BITS bits."""
     rest = [c for c in docs.columns if c != text_col]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +267,7 @@ def stored(docs: DataFrame, text_col: str) -> DataFrame:
     schema = StructType([docs.schema[c] for c in rest]).add("rid", LongType()).add("_null", BooleanType()).add("z", BinaryType()) \
         .add("size", LongType()).add("digest", BinaryType())
     rows = docs.select(*rest, text_col).mapInArrow(pack, schema)
-    return land(rows.withColumn("block", F.shiftright("rid", BLOCK_BITS)), "suffix-rows")
+    return land_in_buckets(rows.withColumn("block", F.shiftright("rid", BLOCK_BITS)), "suffix-rows", "block")
 
 
 def _unpack(column) -> list[bytes]:
