@@ -38,6 +38,7 @@ from opinio.session import scratch_path
 from opinio.sources import readers
 from opinio.sources.csv_split import read_split_csv
 from opinio.sources.models import forest_nodes, load_model, model_path, save_model
+from opinio.sources.readers import land
 from opinio.specs import ELASTIC_NET_PARAMS, REG_PARAMS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -236,9 +237,9 @@ idf AS (
   FROM vocab)"""
 
 
-def _counts(spark, d):
+def _counts(spark, d, docs=None):
     toks = text.without_stop_words(letter_tokens("text"), STOP_WORDS)
-    words = text.explode_tokens(V.docs(spark, d), ["doc_id"], toks)
+    words = text.explode_tokens(V.docs(spark, d) if docs is None else docs, ["doc_id"], toks)
     return text.term_counts(words, "doc_id")
 
 
@@ -279,9 +280,11 @@ def q_idf_weights(spark, d):
 WITH {_COUNTS_SQL}
 SELECT doc_id, word, round(n * idf, 6) AS tfidf FROM counts JOIN idf USING (word)""")
 def q_tfidf(spark, d):
-    # one (doc, word, n) stage feeds both the vocabulary and the product
-    counts = _counts(spark, d)
-    out = text.tfidf(counts, _idf(spark, d, counts), "doc_id")
+    # one landed (doc, word, n) table feeds both the vocabulary and the product; the texts are shuffled, not their words
+    docs = V.table(spark, d, "documents", spread_out=False).select("doc_id", "text")
+    dealt, _ = text.by_document(docs, "doc_id", docs.count())
+    counts = land(_counts(spark, d, dealt), "word-counts")
+    out = text.tfidf(counts, land(_idf(spark, d, counts), "idf"), "doc_id")
     return out.select("doc_id", "word", r6("tfidf").alias("tfidf"))
 
 

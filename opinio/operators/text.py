@@ -85,6 +85,16 @@ def term_counts(words: DataFrame, doc: str, word: str = "word",
     return words.groupBy(doc, word).agg(F.count(F.lit(1)).alias(out))
 
 
+DOCS_A_TASK, MOST_TASKS = 4_000, 100_000
+
+
+def by_document(df: DataFrame, doc: str, n_rows: int) -> tuple[DataFrame, int]:
+    """The texts dealt by ``doc``, DOCS_A_TASK to a task (the session's number of tasks at least), and that number. What follows
+    by document, or by document and word, shuffles nothing more: a text is many times smaller than its words as rows."""
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, -(-n_rows // DOCS_A_TASK)))
+    return df.repartition(tasks, doc), tasks
+
+
 def vocabulary(counts: DataFrame, word: str = "word", n: str = "n",
                min_df: float = MIN_DF, vocab_size: int | None = None,
                n_docs: int | None = None, indexed: bool = True,
@@ -125,9 +135,11 @@ def idf_weights(vocab: DataFrame, n_docs, word: str = "word") -> DataFrame:
 
 def tfidf(counts: DataFrame, idf: DataFrame, doc: str, word: str = "word",
           n: str = "n") -> DataFrame:
-    """``(doc, word, tfidf)`` for vocabulary words; the planner picks the join
-    from the size of ``idf``."""
-    return (counts.join(idf.select(word, "idf"), word)
+    """``(doc, word, tfidf)`` for vocabulary words; ``idf`` is broadcast while its checked size allows it, so that the
+    counts stay where they are."""
+    from opinio.operators.joins import join_checked
+
+    return (join_checked(counts, idf.select(word, "idf"), word)
             .select(doc, word, (F.col(n) * F.col("idf")).alias("tfidf")))
 
 
