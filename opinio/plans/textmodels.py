@@ -23,9 +23,9 @@ from opinio.functions.columns import letter_tokens, match_flag
 from opinio.operators.aggregate import mean_with_error
 from opinio.operators.joins import join_checked
 from opinio.operators.partition import persist_for_iterations
-from opinio.operators.text import MIN_DF, VOCAB_SIZE, sparse_vectors, vocabulary, without_stop_words
+from opinio.operators.text import MIN_DF, VOCAB_SIZE, by_document, sparse_vectors, vocabulary, without_stop_words
 from opinio.plans.gridfit import fit_grid
-from opinio.sources.readers import land
+from opinio.sources.readers import land, land_bucketed
 
 
 def tfidf_vectors(df: DataFrame, doc: str, text: str, stop_words: list[str], vocab_size: int | None = VOCAB_SIZE,
@@ -33,15 +33,18 @@ def tfidf_vectors(df: DataFrame, doc: str, text: str, stop_words: list[str], voc
     """``(word, term_index, idf)`` and ``(doc, tfidf)`` sparse vectors of every row with text (empty where it holds no word
     of the vocabulary). ``doc`` identifies the rows; vocabulary and IDF come from the rows that meet ``fit_filter``.
 
-    The corpus is tokenised once, into landed ``(doc, word, n)`` rows; vocabulary ranks, IDF and vectors follow by
-    aggregations and one join by word. The vocabulary is never collected."""
+    The texts are dealt by document and tokenised once, into ``(doc, word, n)`` rows landed in buckets of the document;
+    vocabulary ranks, IDF and vectors follow by aggregations and one join by word, and the rows of a document are
+    gathered where they lie. The vocabulary is never collected."""
     rows = df.where(F.col(text).isNotNull())
     fit = F.lit(True) if fit_filter is None else fit_filter
-    tokens = without_stop_words(letter_tokens(text), stop_words)
+    sizes = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(fit).alias("fit")).first()
+    n_docs = sizes["fit"]
+    dealt, tasks = by_document(rows.select(doc, F.coalesce(fit, F.lit(False)).alias("_fit"), F.col(text).alias("_text")), doc, sizes["rows"])
+    tokens = without_stop_words(letter_tokens("_text"), stop_words)
     # documents without words stay as one row whose word is NULL
-    counts = land(rows.select(doc, F.coalesce(fit, F.lit(False)).alias("_fit"), F.explode_outer(tokens).alias("word"))
-                  .groupBy(doc, "_fit", "word").agg(F.count("word").alias("n")), "word-counts")
-    n_docs = rows.where(fit).count()
+    counts = land_bucketed(dealt.select(doc, "_fit", F.explode_outer(tokens).alias("word"))
+                           .groupBy(doc, "_fit", "word").agg(F.count("word").alias("n")), "word_counts", doc, tasks)
     vocab = vocabulary(counts.where(F.col("_fit") & F.col("word").isNotNull()), min_df=min_df,
                        vocab_size=vocab_size, n_docs=n_docs)
     idf = F.log((F.lit(n_docs) + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))
