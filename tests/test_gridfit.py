@@ -1,5 +1,7 @@
 """The grid fitted at once against single fits of Spark ML."""
 
+import pickle
+
 import numpy as np
 import pytest
 from conftest import SF_SMALL
@@ -91,3 +93,24 @@ def test_the_driver_gets_one_sum(spark):
         RDD.collect = real
     assert [len(c) for c in collected] == [1]
     assert total == 4950 and each.tolist() == [4950] * 3
+
+
+def test_rounds_send_no_gradients_to_the_driver(spark, monkeypatch):
+    """What reaches the driver is the moments and each model's coefficients once, however many rounds there are."""
+    size, rng = 5000, np.random.default_rng(3)
+    rows = [(float(k % 2), Vectors.sparse(size, sorted(rng.choice(size, 20, replace=False).tolist()), rng.random(20) + k % 2)) for k in range(60)]
+    df = spark.createDataFrame(rows, ["quality", "tfidf"]).repartition(3)
+    blocks = G.sparse_blocks(df, "quality", "tfidf")
+    sent, real = [], RDD.collect
+
+    def collect(rdd):
+        out = real(rdd)
+        sent.append(len(pickle.dumps(out)))
+        return out
+
+    monkeypatch.setattr(RDD, "collect", collect)
+    monkeypatch.setattr(G, "KEPT_EVERY", 4)  # the state passes through the checkpoint folder
+    fits, rounds = G.fit_all(blocks, size, [(0.0, 0.0), (0.02, 0.5)], max_iter=12)
+    blocks.unpersist()
+    assert rounds > 8 and [f.iterations for f in fits]
+    assert sum(sent) < (2 + 2) * size * 8 * 1.1 + rounds * 1000
